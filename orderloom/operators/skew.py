@@ -1,0 +1,51 @@
+"""Joins and splits that stay balanced when one key holds much of the data.
+
+A key counts as heavy when it holds at least ``spark.orderloom.heavyKeyRows``
+rows and is among the largest N keys, N being the session's shuffle partitions.
+So the heavy list never exceeds N keys, and any key outside it holds at most
+one N-th of the rows, which an ordinary shuffle handles.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HEAVY_ROWS = "spark.orderloom.heavyKeyRows"
+DEFAULT_HEAVY_ROWS = "1000000"
+
+
+def heavy_keys(df: DataFrame, key: str) -> DataFrame | None:
+    """The heavy keys of ``df`` as a table of at most N rows, or None when there are none.
+
+    Runs one count per key with map-side combine that reads only the key column.
+    """
+    spark = df.sparkSession
+    floor = int(spark.conf.get(HEAVY_ROWS, DEFAULT_HEAVY_ROWS))
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    largest = sizes.where(F.col("rows") >= floor).orderBy(F.desc("rows"), key).limit(most)
+    found = largest.select(key).collect()
+    return spark.createDataFrame(found, df.select(key).schema) if found else None
+
+
+def split_heavy(df: DataFrame, heavy: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of heavy keys, and all other rows. The heavy list is bounded, so it is broadcast."""
+    hot = df.join(F.broadcast(heavy), key, "left_semi")
+    rest = df.join(F.broadcast(heavy), key, "left_anti")
+    return hot, rest
+
+
+def lookup(fact: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join a table that is unique on ``key`` to a fact whose keys may be very uneven.
+
+    Rows of heavy keys meet a broadcast of the heavy keys' table rows (one row
+    per key, so as bounded as the heavy list) and are not shuffled. All other
+    rows take a plain join, for which Spark picks the method by size.
+    """
+    heavy = heavy_keys(fact, key)
+    if heavy is None:
+        return fact.join(table, key, how)
+    hot, rest = split_heavy(fact, heavy, key)
+    heavy_rows = table.join(F.broadcast(heavy), key, "left_semi")
+    return rest.join(table, key, how).unionByName(hot.join(F.broadcast(heavy_rows), key, how))
