@@ -27,12 +27,23 @@ def whitespace() -> str:
     return "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
 
 
+def _char_class(chars: str, gap: int = 1) -> str:
+    """A regex class of the characters, as ranges; ``gap`` > 1 may join near ranges."""
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, chars)):
+        if ranges and point - ranges[-1][1] <= gap:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(rf"\x{{{low:x}}}-\x{{{high:x}}}" for low, high in ranges) + "]"
+
+
 @lru_cache(maxsize=None)
-def _whitespace_run() -> str:
+def _whitespace_run(ascii_only: bool) -> str:
     """A regex for each whitespace run that is not already one plain space."""
-    space = "".join(rf"\x{{{ord(c):x}}}" for c in whitespace())
-    odd = "".join(rf"\x{{{ord(c):x}}}" for c in whitespace() if c != " ")
-    return f"[{space}]{{2,}}|[{odd}]"
+    spaces = "".join(c for c in whitespace() if not ascii_only or c.isascii())
+    odd = spaces.replace(" ", "")
+    return f"{_char_class(odd)}{_char_class(spaces)}*| {_char_class(spaces)}+"
 
 
 @lru_cache(maxsize=None)
@@ -62,20 +73,37 @@ def is_ascii(text: Column) -> Column:
     return F.octet_length(text) == F.length(text)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _expand_rare(text: Column, pairs: dict[str, str]) -> Column:
+    """Replace characters of a table, one by one; for the few rows that hold any."""
+    listed = ",".join(f"{char}:{form}" for char, form in pairs.items())
+    forms = F.str_to_map(F.lit(listed), F.lit(","), F.lit(":"))
+    chars = F.transform(F.split(text, ""), lambda char: F.coalesce(forms[char], char))
+    return F.array_join(chars, "")
+
+
 def _map_case(text: Column, method: str, ascii_form: Column) -> Column:
-    """A context-free Unicode case mapping; ASCII rows take the built-in function."""
+    """A context-free Unicode case mapping; ASCII rows take the built-in function.
+
+    Other rows map one-to-one characters in one pass, then expand those with a
+    longer form: the Latin-1 ones always, the rare rest behind a guard.
+    """
     source, target, several = _case_table(method)
-    simple = F.translate(text, source, target)
-    expansions = F.create_map(*[F.lit(part) for pair in several.items() for part in pair])
-    expanded = F.array_join(
-        F.transform(F.split(simple, ""), lambda char: F.coalesce(expansions[char], char)), ""
-    )
-    needs_expansion = F.translate(simple, "".join(several), "") != simple
-    return (
-        F.when(is_ascii(text), ascii_form)
-        .when(needs_expansion, expanded)
-        .otherwise(simple)
-    )
+    latin = {char: form for char, form in several.items() if char < "\u0100"}
+    rare = {char: form for char, form in several.items() if char not in latin}
+    guard = _char_class("".join(rare), gap=128)
+
+    def expand(simple: Column) -> Column:
+        return F.when(simple.rlike(guard), _expand_rare(simple, rare)).otherwise(simple)
+
+    mapped = F.translate(text, source, target)
+    for char, form in latin.items():
+        mapped = F.replace(mapped, F.lit(char), F.lit(form))
+    return F.when(is_ascii(text), ascii_form).otherwise(_let(mapped, expand))
 
 
 def upper(text: Column) -> Column:
@@ -101,7 +129,10 @@ def status(value: Column) -> Column:
 
 def customer_name(value: Column) -> Column:
     """A readable name: outer whitespace removed, inner runs collapsed to one space."""
-    return F.regexp_replace(clean_text(value), _whitespace_run(), " ")
+    cleaned = clean_text(value)
+    return F.when(
+        is_ascii(cleaned), F.regexp_replace(cleaned, _whitespace_run(ascii_only=True), " ")
+    ).otherwise(F.regexp_replace(cleaned, _whitespace_run(ascii_only=False), " "))
 
 
 def customer_key(value: Column) -> Column:

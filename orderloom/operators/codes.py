@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from orderloom.operators.skew import lookup
 
 
-def first_positions(orders: DataFrame, blank_counts: bool = False) -> DataFrame:
+def first_positions(orders: DataFrame) -> DataFrame:
     """One row per code with the position of its first row (map-side combined)."""
-    rows = orders if blank_counts else orders.where(F.col("order_code") != "")
-    return rows.groupBy("order_code").agg(F.min("pos").alias("first_pos"))
+    return orders.groupBy("order_code").agg(F.min("pos").alias("first_pos"))
 
 
 def stored_codes(registry: DataFrame) -> DataFrame:
@@ -24,7 +23,7 @@ def flag_codes(orders: DataFrame, registry: DataFrame | None) -> DataFrame:
     Only the first row of a code can carry ``stored``: on a later row
     ``repeated`` fires first. So the registry meets one row per distinct code,
     and the facts come back by (code, position), which is unique per row: no
-    code, however frequent, makes a large partition. Blank codes take no part.
+    code, however frequent, makes a large partition. A blank code never repeats.
     """
     firsts = first_positions(orders)
     if registry is None:
@@ -42,9 +41,7 @@ def flag_codes(orders: DataFrame, registry: DataFrame | None) -> DataFrame:
 
 def flag_codes_on_every_row(orders: DataFrame, registry: DataFrame) -> DataFrame:
     """As ``flag_codes``, with ``stored`` on every row of a stored code, repeated or not."""
-    facts = first_positions(orders, blank_counts=True).join(
-        stored_codes(registry), "order_code", "left"
-    )
+    facts = first_positions(orders).join(stored_codes(registry), "order_code", "left")
     return lookup(orders, facts, "order_code").withColumns(
         {
             "repeated": F.col("pos") > F.col("first_pos"),
@@ -55,10 +52,15 @@ def flag_codes_on_every_row(orders: DataFrame, registry: DataFrame) -> DataFrame
 
 def first_rows(orders: DataFrame) -> DataFrame:
     """The first row of every code, whole."""
-    firsts = first_positions(orders, blank_counts=True).withColumnRenamed("first_pos", "pos")
+    firsts = first_positions(orders).withColumnRenamed("first_pos", "pos")
     return orders.join(firsts, ["order_code", "pos"], "left_semi")
 
 
+def already_stored(orders: DataFrame, registry: DataFrame) -> DataFrame:
+    """Rows whose code the registry has."""
+    return lookup(orders, stored_codes(registry), "order_code", "left_semi")
+
+
 def not_stored(orders: DataFrame, registry: DataFrame) -> DataFrame:
-    """Rows whose code the registry lacks."""
-    return orders.join(registry.select("order_code"), "order_code", "left_anti")
+    """Rows, at most one per code, whose code the registry lacks."""
+    return orders.join(stored_codes(registry), "order_code", "left_anti")

@@ -12,21 +12,32 @@ from orderloom.operators.skew import lookup
 COLUMNS = ("id", "name", "normalized_name")
 
 
-def first_spellings(rows: DataFrame, name: str = "customer_name", pos: str = "pos") -> DataFrame:
+def with_keys(rows: DataFrame) -> DataFrame:
+    """Add ``customer_key``. Worth writing along when several steps need it."""
+    return rows.withColumn("customer_key", text.customer_key(F.col("customer_name")))
+
+
+def _key(rows: DataFrame) -> Column:
+    if "customer_key" in rows.columns:
+        return F.col("customer_key")
+    return text.customer_key(F.col("customer_name"))
+
+
+def first_spellings(rows: DataFrame) -> DataFrame:
     """One row per customer key with the spelling seen first (map-side combined)."""
     named = rows.select(
-        text.customer_name(F.col(name)).alias("name"),
-        text.customer_key(F.col(name)).alias("normalized_name"),
-        F.col(pos).alias("pos"),
+        text.customer_name(F.col("customer_name")).alias("name"),
+        _key(rows).alias("normalized_name"),
+        "pos",
     )
     return named.groupBy("normalized_name").agg(
         F.min_by("name", "pos").alias("name"), F.min("pos").alias("first_pos")
     )
 
 
-def new_customers(rows: DataFrame, customers: DataFrame, name: str = "customer_name") -> DataFrame:
+def new_customers(rows: DataFrame, customers: DataFrame) -> DataFrame:
     """First spellings whose key the dimension lacks."""
-    return first_spellings(rows, name).join(
+    return first_spellings(rows).join(
         customers.select("normalized_name"), "normalized_name", "left_anti"
     )
 
@@ -41,26 +52,26 @@ def highest_id(table: DataFrame) -> int:
     return table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
 
 
-def build(rows: DataFrame, name: str = "customer_name") -> DataFrame:
+def build(rows: DataFrame) -> DataFrame:
     """A dimension from scratch."""
-    return assign_ids(first_spellings(rows, name))
+    return assign_ids(first_spellings(rows))
 
 
-def additions(rows: DataFrame, customers: DataFrame, name: str = "customer_name") -> DataFrame:
+def additions(rows: DataFrame, customers: DataFrame) -> DataFrame:
     """The dimension rows an upsert of ``rows`` adds, with ids after the highest one."""
-    return assign_ids(new_customers(rows, customers, name), highest_id(customers))
+    return assign_ids(new_customers(rows, customers), highest_id(customers))
 
 
-def upsert(rows: DataFrame, customers: DataFrame, name: str = "customer_name") -> DataFrame:
+def upsert(rows: DataFrame, customers: DataFrame) -> DataFrame:
     """The dimension after every name in ``rows`` has a customer."""
-    return customers.select(*COLUMNS).unionByName(additions(rows, customers, name))
+    return customers.select(*COLUMNS).unionByName(additions(rows, customers))
 
 
-def resolve(rows: DataFrame, customers: DataFrame, name: str = "customer_name") -> DataFrame:
+def resolve(rows: DataFrame, customers: DataFrame) -> DataFrame:
     """Add ``customer_id`` by customer key. A customer may own any share of the rows."""
     keys = customers.select(F.col("id").alias("customer_id"), "normalized_name")
-    keyed = rows.withColumn("normalized_name", text.customer_key(F.col(name)))
-    return lookup(keyed, keys, "normalized_name").drop("normalized_name")
+    keyed = rows.withColumn("normalized_name", _key(rows))
+    return lookup(keyed, keys, "normalized_name").drop("normalized_name", "customer_key")
 
 
 def search(customers: DataFrame, wanted: str | None) -> DataFrame:

@@ -60,11 +60,12 @@ def validate_creations(
     candidates = normalize_orders(raw).withColumn(
         "_reasons", rules.collect_reasons(*rules.field_reasons(statuses))
     )
-    passing = (F.col("order_code") != "") & (F.size("_reasons") == 0)
-    created = (
-        candidates.where(passing).groupBy("order_code").agg(F.min("pos").alias("_created"))
+    # A conditional minimum, not a filter: a filter would be pushed below the
+    # normalization and compute every rule once more.
+    created = candidates.groupBy("order_code").agg(
+        F.min(F.when(F.size("_reasons") == 0, F.col("pos"))).alias("_created")
     )
-    facts = created.join(codes.stored_codes(registry), "order_code", "full_outer")
+    facts = created.join(codes.stored_codes(registry), "order_code", "left")
     flagged = lookup(candidates, facts, "order_code").withColumns(
         {
             "repeated": F.lit(False),

@@ -40,7 +40,7 @@ def insert_or_ignore(
     Rows are normalized but not validated. Every row's customer is created,
     also when its order is ignored.
     """
-    normalized = materialize(intake.normalize_orders(rows), "seed")
+    normalized = materialize(customers.with_keys(intake.normalize_orders(rows)), "seed")
     extended = customers.upsert(normalized, dimension)
     fresh = codes.not_stored(codes.first_rows(normalized), orders)
     typed = fresh.withColumn("quantity", text.to_quantity(F.col("quantity")))
@@ -76,10 +76,9 @@ def import_orders(
     """
     try:
         stored = store.orders()
-        validated = materialize(
-            intake.validate(raw, stored.select("order_code")), "validated"
-        )
-        skipped = intake.rejected(validated)
+        checked = intake.validate(raw, stored.select("order_code"))
+        validated = materialize(customers.with_keys(checked), "validated")
+        skipped = intake.rejected(validated).drop("customer_key")
         if not confirmed:
             return ImportResult(
                 False, True, 0, skipped.count(), 0, False, domain.IMPORT_CANCELLED, skipped

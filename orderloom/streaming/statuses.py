@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StringType, StructField, StructType
@@ -14,6 +14,17 @@ from orderloom.functions import domain
 from orderloom.plans.lifecycle import normalize_requests
 
 
+def request_stream(
+    spark: SparkSession, folder: str, schema: StructType, bytes_per_trigger: str = "256m"
+) -> DataFrame:
+    """Parquet drops of status requests, read in micro-batches of a bounded size."""
+    return (
+        spark.readStream.schema(schema)
+        .option("maxBytesPerTrigger", bytes_per_trigger)
+        .parquet(folder)
+    )
+
+
 def stream_transitions(
     requests: DataFrame,
     order: Sequence[str],
@@ -23,9 +34,8 @@ def stream_transitions(
     """Real status changes, one audit row each, with the last status kept as state.
 
     Rows are sorted by ``order`` inside a micro-batch, and micro-batches count
-    in arrival order. One order's requests of one micro-batch meet in one task,
-    so give the source a ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``: that
-    bounds the group.
+    in arrival order. One order's requests of one micro-batch meet in one task;
+    the source bounds them by the size of a micro-batch (see ``request_stream``).
     """
     order = list(order)
     accepted = normalize_requests(requests).where(F.col("status").isin(*statuses))

@@ -15,6 +15,7 @@ from orderloom.plans import history, intake, lifecycle, loading, migration
 from orderloom.sources import csv, reports
 from orderloom.sources.store import OrderStore
 from orderloom.streaming.inbox import stream_intake as run_inbox
+from orderloom.streaming.statuses import request_stream
 from orderloom.streaming.statuses import stream_transitions as follow_statuses
 from orderloom.workload import fixtures
 
@@ -150,8 +151,7 @@ def dup_lines(spark, sf_dir):
 @query
 def exists_in_registry(spark, sf_dir):
     rows = intake.normalize_orders(fixtures.intake(spark, sf_dir))
-    known = codes.stored_codes(fixtures.registry(spark, sf_dir))
-    return rows.join(known, "order_code", "left_semi").select("pos", "order_code")
+    return codes.already_stored(rows, fixtures.registry(spark, sf_dir)).select("pos", "order_code")
 
 
 @query
@@ -717,7 +717,7 @@ def stream_transitions(spark, sf_dir):
     for part in (ts < bounds.low, (ts >= bounds.low) & (ts < bounds.high), ts >= bounds.high):
         requests.where(part).write.mode("append").parquet(inbox)
         audit = follow_statuses(
-            spark.readStream.schema(requests.schema).parquet(inbox),
+            request_stream(spark, inbox, requests.schema),
             EVENT_ORDER,
             fixtures.EVENT_INITIAL,
             fixtures.EVENT_STATUSES,
