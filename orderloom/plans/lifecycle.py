@@ -101,11 +101,12 @@ def transitions(outcomes: DataFrame, order: Sequence[str]) -> DataFrame:
 def audit_rows(
     outcomes: DataFrame, order: Sequence[str], clock: Column, after: int = 0
 ) -> DataFrame:
-    """History rows with ids in arrival order; ``clock`` is when each change happened (UTC text)."""
-    changes = transitions(
-        outcomes.withColumn("changed_at", F.date_format(clock, "yyyy-MM-dd HH:mm:ss")),
-        [*order, "changed_at"],
-    )
+    """History rows with ids in arrival order; ``clock`` is when each change happened.
+
+    It is kept as text to the second, read off without any time zone arithmetic.
+    """
+    moment = F.substring(clock.cast("string"), 1, 19)
+    changes = transitions(outcomes.withColumn("changed_at", moment), [*order, "changed_at"])
     return dense_ids(changes, order, "id", after).select(
         "id", "order_code", "old_status", "new_status", "changed_at"
     )

@@ -15,7 +15,7 @@ from orderloom.plans.lifecycle import normalize_requests
 
 
 def request_stream(
-    spark: SparkSession, folder: str, schema: StructType, bytes_per_trigger: str = "256m"
+    spark: SparkSession, folder: str, schema: StructType, bytes_per_trigger: int = 256 * 1024 * 1024
 ) -> DataFrame:
     """Parquet drops of status requests, read in micro-batches of a bounded size."""
     return (
