@@ -74,8 +74,8 @@ def is_ascii(text: Column) -> Column:
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
+    """``body`` over a text that is computed once. Never null, so joins add no null check."""
+    return F.coalesce(F.transform(F.array(value), body)[0], F.lit(""))
 
 
 def _expand_rare(text: Column, pairs: dict[str, str]) -> Column:

@@ -36,14 +36,28 @@ def split_heavy(df: DataFrame, heavy: DataFrame, key: str) -> tuple[DataFrame, D
     return hot, rest
 
 
-def lookup(fact: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
+class KeySizes:
+    """The heavy keys of one column, counted once for all steps that need them."""
+
+    def __init__(self, df: DataFrame, key: str):
+        self.key = key
+        self.heavy = heavy_keys(df, key)
+
+
+def lookup(
+    fact: DataFrame,
+    table: DataFrame,
+    key: str,
+    how: str = "left",
+    sizes: KeySizes | None = None,
+) -> DataFrame:
     """Join a table that is unique on ``key`` to a fact whose keys may be very uneven.
 
     Rows of heavy keys meet a broadcast of the heavy keys' table rows (one row
     per key, so as bounded as the heavy list) and are not shuffled. All other
     rows take a plain join, for which Spark picks the method by size.
     """
-    heavy = heavy_keys(fact, key)
+    heavy = (sizes or KeySizes(fact, key)).heavy
     if heavy is None:
         return fact.join(table, key, how)
     hot, rest = split_heavy(fact, heavy, key)

@@ -15,15 +15,17 @@ from copy import copy
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from orderloom.operators.skew import heavy_keys, split_heavy
+from orderloom.operators.skew import KeySizes, split_heavy
 from orderloom.operators.storage import materialize
 
 
 class Timeline:
     """Rows of a table in a unique order per key, open for sequence columns."""
 
-    def __init__(self, df: DataFrame, key: str, order: Sequence[str]):
-        heavy = heavy_keys(df, key)
+    def __init__(
+        self, df: DataFrame, key: str, order: Sequence[str], sizes: KeySizes | None = None
+    ):
+        heavy = (sizes or KeySizes(df, key)).heavy
         self.key = key
         self.order = list(order)
         self.split = heavy is not None

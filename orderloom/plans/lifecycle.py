@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderloom.functions import domain, text
 from orderloom.operators import codes
 from orderloom.operators.ids import dense_ids
-from orderloom.operators.skew import lookup
+from orderloom.operators.skew import KeySizes, lookup
 from orderloom.operators.timeline import Timeline
 
 # What became of one request.
@@ -46,8 +46,12 @@ def update_statuses(
     """
     status = F.col("status")
     valid = status.isin(*statuses)
-    found = lookup(normalize_requests(requests), _initial(stored), "order_code")
-    timed = Timeline(found, "order_code", order).last_before(F.when(valid, status), "_previous")
+    asked = normalize_requests(requests)
+    sizes = KeySizes(asked, "order_code")
+    found = lookup(asked, _initial(stored), "order_code", sizes=sizes)
+    timed = Timeline(found, "order_code", order, sizes).last_before(
+        F.when(valid, status), "_previous"
+    )
     old = F.coalesce("_previous", "_stored")
     outcome = (
         F.when(F.col("_stored").isNull(), NOT_FOUND)
@@ -144,15 +148,17 @@ def replay(
     op, status = F.col("op"), F.col("status")
     valid = status.isin(*statuses)
     log = normalize_requests(commands)
+    sizes = KeySizes(log, "order_code")
     if stored is None:
         log = log.withColumn("_stored", F.lit(None).cast("string"))
     else:
-        log = lookup(log, _initial(stored), "order_code")
+        log = lookup(log, _initial(stored), "order_code", sizes=sizes)
     exists_after = F.when((op == "create") & valid, True).when(op == "delete", False)
-    alive = Timeline(log.withColumn("_exists_after", exists_after), "order_code", order)
-    alive = alive.last_before(F.col("_exists_after"), "_exists_before")
-    alive = alive.derive(
-        {"_alive": F.coalesce("_exists_before", F.col("_stored").isNotNull())}
+    log = log.withColumn("_exists_after", exists_after)
+    alive = (
+        Timeline(log, "order_code", order, sizes)
+        .last_before(F.col("_exists_after"), "_exists_before")
+        .derive({"_alive": F.coalesce("_exists_before", F.col("_stored").isNotNull())})
     )
     sets = ((op == "create") & ~F.col("_alive") & valid) | (
         (op == "update") & F.col("_alive") & valid
