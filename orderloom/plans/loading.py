@@ -61,6 +61,14 @@ class ImportResult:
     skipped_orders: DataFrame | None = None
 
 
+def load_batch(store: OrderStore, accepted: DataFrame, batch_id: int) -> None:
+    """Write accepted rows and their new customers under a batch id, unpublished."""
+    dimension = store.customers()
+    store.write("customers", customers.additions(accepted, dimension), batch_id)
+    extended = dimension.unionByName(store.written("customers", batch_id))
+    store.write("orders", number_orders(accepted, extended, store.last_id("orders")), batch_id)
+
+
 def import_orders(
     store: OrderStore,
     raw: DataFrame,
@@ -75,8 +83,7 @@ def import_orders(
     as it was and the input pending.
     """
     try:
-        stored = store.orders()
-        checked = intake.validate(raw, stored.select("order_code"))
+        checked = intake.validate(raw, store.orders().select("order_code"))
         validated = materialize(customers.with_keys(checked), "validated")
         skipped = intake.rejected(validated).drop("customer_key")
         if not confirmed:
@@ -88,14 +95,9 @@ def import_orders(
             return ImportResult(False, False, 0, 0, 0, False, domain.IMPORT_EMPTY)
 
         batch_id = store.next_batch()
-        accepted = intake.accepted(validated)
-        dimension = store.customers()
-        store.write("customers", customers.additions(accepted, dimension), batch_id)
-        extended = dimension.unionByName(store.written("customers", batch_id))
-        numbered = number_orders(accepted, extended, customers.highest_id(stored))
-        store.write("orders", numbered, batch_id)
+        load_batch(store, intake.accepted(validated), batch_id)
         store.write("rejects", skipped, batch_id)
-        store.publish(batch_id, sources, origin)
+        store.publish(batch_id, ["customers", "orders", "rejects"], sources, origin)
     except Exception as error:
         return ImportResult(False, False, 0, 0, 0, False, domain.IMPORT_FAILED % error)
     return ImportResult(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 # Table name -> columns, beside the batch folder each row lies in.
 TABLES = {
@@ -14,16 +16,23 @@ TABLES = {
         "pos bigint, order_code string, customer_name string, quantity string, status string, "
         "errors array<string>, reasons string"
     ),
-    "manifest": "source string, origin string, published_at timestamp",
+    # Status after a batch of updates, and orders removed, both by order id.
+    "updates": "id bigint, status string",
+    "deletions": "id bigint",
+    "history": (
+        "id bigint, order_code string, old_status string, new_status string, changed_at string"
+    ),
+    "manifest": "source string, origin string, tables array<string>, published_at timestamp",
 }
 
 
 class OrderStore:
     """Tables below one root folder, each a folder per batch.
 
-    A batch counts once its manifest exists; the manifest is written last. What
-    a failed batch left behind is never read, and the next batch overwrites it.
-    One writer at a time.
+    A batch counts once its manifest exists, which is written last and names
+    the tables the batch wrote. What a failed batch left behind is never read:
+    a later batch under its id overwrites the tables it names and names no
+    others. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -33,44 +42,83 @@ class OrderStore:
     def _folder(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/batch_id={batch_id}"
 
-    def _all(self, table: str) -> DataFrame:
+    def _stored(self, table: str) -> DataFrame | None:
+        """All rows of a table with their batch, None when no batch ever wrote it."""
         schema = f"{TABLES[table]}, batch_id bigint"
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return None
+
+    def _manifest(self) -> dict[int, set[str]]:
+        """The published batches, one per import, update or delete, and the tables each wrote."""
+        manifest = self._stored("manifest")
+        if manifest is None:
+            return {}
+        rows = manifest.select("batch_id", "tables").distinct().collect()
+        return {row.batch_id: set(row.tables) for row in rows}
 
     def published(self) -> list[int]:
-        """Ids of the published batches, one per import."""
-        ids = self._all("manifest").select("batch_id").distinct().collect()
-        return sorted(row.batch_id for row in ids)
+        return sorted(self._manifest())
 
     def next_batch(self) -> int:
-        published = self.published()
-        return published[-1] + 1 if published else 0
+        return max(self._manifest(), default=-1) + 1
+
+    def _read(self, table: str, manifest: dict[int, set[str]] | None = None) -> DataFrame | None:
+        """Published rows of a table with their batch, None when there are none."""
+        known = self._manifest() if manifest is None else manifest
+        batches = [batch_id for batch_id, tables in known.items() if table in tables]
+        return self._stored(table).where(F.col("batch_id").isin(batches)) if batches else None
 
-    def _read(self, table: str) -> DataFrame:
-        return self._all(table).where(F.col("batch_id").isin(self.published())).drop("batch_id")
+    def _table(self, table: str, manifest: dict[int, set[str]] | None = None) -> DataFrame:
+        rows = self._read(table, manifest)
+        if rows is None:
+            return self.spark.createDataFrame([], TABLES[table])
+        return rows.drop("batch_id")
 
     def orders(self) -> DataFrame:
-        """Stored orders of all published batches."""
-        return self._read("orders")
+        """Live orders: everything loaded, less deletions, with the last status update applied."""
+        manifest = self._manifest()
+        live = self._table("orders", manifest)
+        deletions, updates = self._read("deletions", manifest), self._read("updates", manifest)
+        if deletions is not None:
+            live = live.join(deletions.select("id"), "id", "left_anti")
+        if updates is not None:
+            last = updates.groupBy("id").agg(F.max_by("status", "batch_id").alias("_last"))
+            live = (
+                live.join(last, "id", "left")
+                .withColumn("status", F.coalesce("_last", "status"))
+                .drop("_last")
+            )
+        return live
+
+    def history(self) -> DataFrame:
+        """Status changes of all orders, also of deleted ones."""
+        return self._table("history")
 
     def customers(self) -> DataFrame:
-        return self._read("customers")
+        return self._table("customers")
 
     def rejects(self) -> DataFrame:
-        return self._read("rejects")
+        return self._table("rejects")
+
+    def last_id(self, table: str) -> int:
+        """The highest id a table ever gave out; ids of deleted orders are not used again."""
+        return self._table(table).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
 
     def has_origin(self, origin: str) -> bool:
         """Whether a published batch came from this origin."""
-        return not self._all("manifest").where(F.col("origin") == origin).isEmpty()
+        manifest = self._stored("manifest")
+        return manifest is not None and not manifest.where(F.col("origin") == origin).isEmpty()
 
     def consumed(self) -> DataFrame:
         """Input files that published batches have consumed."""
-        return self._all("manifest").where(F.col("source").isNotNull()).select("source").distinct()
+        manifest = self._stored("manifest")
+        if manifest is None:
+            return self.spark.createDataFrame([], "source string")
+        return manifest.where(F.col("source").isNotNull()).select("source").distinct()
 
     def pending(self, files: DataFrame) -> DataFrame:
         """Listed files no published batch has consumed."""
@@ -82,20 +130,25 @@ class OrderStore:
 
     def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
         writer = rows.write.mode("overwrite")
-        if table == "orders":
-            # Point lookups by code skip row groups, as a unique index would let them.
+        if table in ("orders", "history"):
+            # Point lookups by code skip row groups, as an index would let them.
             writer = writer.option("parquet.bloom.filter.enabled#order_code", "true")
         writer.parquet(self._folder(table, batch_id))
 
     def publish(
-        self, batch_id: int, sources: DataFrame | None = None, origin: str | None = None
+        self,
+        batch_id: int,
+        tables: Sequence[str],
+        sources: DataFrame | None = None,
+        origin: str | None = None,
     ) -> None:
-        """Make a batch visible; record the files it consumed and where it came from."""
+        """Make the tables a batch wrote visible; record its input files and where it came from."""
         if sources is None:
             sources = self.spark.createDataFrame([(None,)], "source string")
         rows = sources.select(
             "source",
             F.lit(origin).cast("string").alias("origin"),
+            F.array_sort(F.array(*map(F.lit, tables))).alias("tables"),
             F.current_timestamp().alias("published_at"),
         )
         self.write("manifest", rows, batch_id)

@@ -545,3 +545,70 @@ ORACLES["validate_legacy_counts"] = _with(
     "SELECT count(*) FILTER (errors = '') AS valid_orders, "
     "count(*) FILTER (errors <> '') AS invalid_orders FROM validated",
 )
+
+_CREATED = f"""{INTAKE},
+parts AS (SELECT *, {field_reasons()} FROM norm),
+passing AS (
+  SELECT * FROM parts
+  WHERE order_code <> '' AND coalesce(customer_reason, quantity_reason, status_reason) IS NULL
+    AND order_code NOT IN (SELECT order_code FROM registry)
+  QUALIFY row_number() OVER (PARTITION BY order_code ORDER BY pos) = 1),
+loads AS (
+  SELECT 0 AS batch, * FROM seeds UNION ALL
+  SELECT 1, pos, order_code, customer_name, CAST(quantity AS BIGINT), status FROM passing),
+first_named AS (
+  SELECT lower(customer_name) AS normalized_name,
+    arg_min(customer_name, batch * 1000000000000 + pos) AS name,
+    min(batch * 1000000000000 + pos) AS seen
+  FROM loads GROUP BY 1),
+stored_customers AS (
+  SELECT row_number() OVER (ORDER BY seen) AS id, name, normalized_name FROM first_named)"""
+
+ORACLES["store_creations"] = _with(
+    _CREATED,
+    "SELECT row_number() OVER (ORDER BY batch, pos) AS id, order_code, c.id AS customer_id, "
+    "c.name AS customer_name, CAST(quantity AS BIGINT) AS quantity, status FROM loads "
+    "JOIN stored_customers c ON c.normalized_name = lower(customer_name)",
+)
+
+_LIVED = f"""{NAMED},
+seeds AS (
+  SELECT k AS pos, 'ORD' || k AS order_code, replace(c_name, '#', ' ') AS customer_name,
+    k % 50 + 1 AS quantity,
+    CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'cancelled' END
+      AS status
+  FROM named WHERE k % 13 = 0),
+first_named AS (
+  SELECT customer_name, min(pos) AS seen FROM seeds GROUP BY 1),
+customers AS (
+  SELECT row_number() OVER (ORDER BY seen) AS id, customer_name FROM first_named),
+asked AS (
+  SELECT l.*, order_code, s.status AS stored,
+    CASE WHEN l_returnflag = 'N' THEN 'pending' WHEN l_returnflag = 'A' THEN 'completed'
+      ELSE 'cancelled' END AS wanted
+  FROM lineitem l JOIN seeds s ON s.order_code = 'ORD' || l_orderkey
+  WHERE l_returnflag <> 'R' OR l_linestatus = 'O'),
+paired AS (
+  SELECT *, coalesce(lag(wanted) OVER (PARTITION BY order_code
+    ORDER BY l_shipdate, l_orderkey, l_partkey, l_suppkey, l_extendedprice), stored) AS old_status
+  FROM asked),
+history AS (
+  SELECT row_number() OVER (
+      ORDER BY l_shipdate, l_orderkey, l_partkey, l_suppkey, l_extendedprice) AS id,
+    order_code, old_status, wanted AS new_status,
+    strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS changed_at
+  FROM paired WHERE old_status <> wanted),
+last AS (SELECT order_code, arg_max(new_status, id) AS status FROM history GROUP BY 1)"""
+
+ORACLES["store_history"] = _with(
+    _LIVED, "SELECT id, order_code, old_status, new_status, changed_at FROM history"
+)
+ORACLES["store_lifecycle"] = _with(
+    _LIVED,
+    """, numbered AS (SELECT *, row_number() OVER (ORDER BY pos) AS id FROM seeds)
+SELECT n.id, n.order_code, c.id AS customer_id, customer_name, quantity,
+  coalesce(last.status, n.status) AS status
+FROM numbered n JOIN customers c USING (customer_name)
+LEFT JOIN last ON last.order_code = n.order_code
+WHERE n.order_code NOT IN (SELECT 'ORD' || l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+)

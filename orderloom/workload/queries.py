@@ -11,7 +11,7 @@ from orderloom.functions import domain, rules, text
 from orderloom.operators import browse, checks, codes, customers
 from orderloom.operators.ids import dense_ids
 from orderloom.operators.storage import materialize, new_folder
-from orderloom.plans import history, intake, lifecycle, loading, migration
+from orderloom.plans import history, intake, lifecycle, loading, migration, service
 from orderloom.sources import csv, reports
 from orderloom.sources.store import OrderStore
 from orderloom.streaming.inbox import stream_intake as run_inbox
@@ -602,6 +602,45 @@ def delete_outcomes(spark, sf_dir):
     )
 
 
+# A store that lives: updates, deletes, creations
+
+LINE_ORDER = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+def _lived_store(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """The seeds after one status request per order line and the deletes of returned lines."""
+    store = _seeded_store(spark, sf_dir)
+    requests = fixtures.table(spark, sf_dir, "lineitem").select(
+        *LINE_ORDER,
+        F.concat(F.lit("ord"), "l_orderkey").alias("order_code"),
+        F.expr(
+            "CASE l_returnflag WHEN 'N' THEN ' Pending' WHEN 'A' THEN 'COMPLETED' "
+            "ELSE IF(l_linestatus = 'O', 'cancelled', 'shipped') END"
+        ).alias("status"),
+    )
+    service.update_statuses(store, requests, LINE_ORDER, F.col("l_shipdate"))
+    service.delete_orders(store, delete_requests(spark, sf_dir))
+    return store
+
+
+@query
+def store_lifecycle(spark, sf_dir):
+    return service.all_orders(_lived_store(spark, sf_dir))
+
+
+@query
+def store_history(spark, sf_dir):
+    return _lived_store(spark, sf_dir).history()
+
+
+@query
+def store_creations(spark, sf_dir):
+    """The intake created order by order in the store of seeds."""
+    store = _seeded_store(spark, sf_dir)
+    service.create_orders(store, fixtures.intake(spark, sf_dir))
+    return service.all_orders(store)
+
+
 # Command log
 
 
