@@ -86,32 +86,48 @@ def _expand_rare(text: Column, pairs: dict[str, str]) -> Column:
     return F.array_join(chars, "")
 
 
-def _map_case(text: Column, method: str, ascii_form: Column) -> Column:
-    """A context-free Unicode case mapping; ASCII rows take the built-in function.
+def _map_case(text: Column, method: str, native: Callable[[Column], Column], like: str) -> Column:
+    """A context-free Unicode case mapping that stays on the built-in function where it can.
 
-    Other rows map one-to-one characters in one pass, then expand those with a
+    ASCII rows take the built-in alone. So do rows below U+0180 (Western and
+    Central European letters), where it differs from the wanted mapping only in
+    a few characters: sharp s is replaced, rows with another one go on. All
+    other rows map one-to-one characters in one pass, then expand those with a
     longer form: the Latin-1 ones always, the rare rest behind a guard.
+    ``like`` names Python's counterpart of the built-in function.
     """
     source, target, several = _case_table(method)
     latin = {char: form for char, form in several.items() if char < "\u0100"}
     rare = {char: form for char, form in several.items() if char not in latin}
+    differing = "".join(
+        char
+        for char in map(chr, range(0x80, 0x180))
+        if getattr(char, method)() != getattr(char, like)() and char not in latin
+    )
+    beyond = r"[^\x{0}-\x{17f}]" + (f"|{_char_class(differing)}" if differing else "")
     guard = _char_class("".join(rare), gap=128)
 
+    def expand_latin(mapped: Column) -> Column:
+        for char, form in latin.items():
+            mapped = F.replace(mapped, F.lit(char), F.lit(form))
+        return mapped
+
     def expand(simple: Column) -> Column:
         return F.when(simple.rlike(guard), _expand_rare(simple, rare)).otherwise(simple)
 
-    mapped = F.translate(text, source, target)
-    for char, form in latin.items():
-        mapped = F.replace(mapped, F.lit(char), F.lit(form))
-    return F.when(is_ascii(text), ascii_form).otherwise(_let(mapped, expand))
+    return (
+        F.when(is_ascii(text), native(text))
+        .when(~text.rlike(beyond), expand_latin(native(text)))
+        .otherwise(_let(expand_latin(F.translate(text, source, target)), expand))
+    )
 
 
 def upper(text: Column) -> Column:
-    return _map_case(text, "upper", F.upper(text))
+    return _map_case(text, "upper", F.upper, "upper")
 
 
 def casefold(text: Column) -> Column:
-    return _map_case(text, "casefold", F.lower(text))
+    return _map_case(text, "casefold", F.lower, "lower")
 
 
 def clean_text(value: Column) -> Column:
