@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,20 +68,20 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(F.concat(F.lit("ORD"), "o_orderkey").alias("order_code"))
 
 
-@lru_cache(maxsize=None)
-def _loaded(application: str, sf_dir: str) -> tuple[OrderStore, object]:
-    spark = SparkSession.getActiveSession()
-    store = OrderStore(spark, new_folder(spark, "store"))
-    for feed in (seeds(spark, sf_dir), intake(spark, sf_dir)):
-        result = import_orders(store, feed, confirmed=True)
-        if not result.success:
-            raise RuntimeError(result.message)
-    return store, result
+_loaded: dict[tuple[str, str], OrderStore] = {}
 
 
 def loaded_store(spark: SparkSession, sf_dir: str) -> OrderStore:
     """A store that imported the seeds and then the intake; built once per session."""
-    return _loaded(spark.sparkContext.applicationId, sf_dir)[0]
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _loaded:
+        store = OrderStore(spark, new_folder(spark, "store"))
+        for feed in (seeds(spark, sf_dir), intake(spark, sf_dir)):
+            result = import_orders(store, feed, confirmed=True)
+            if not result.success:
+                raise RuntimeError(result.message)
+        _loaded[key] = store
+    return _loaded[key]
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
