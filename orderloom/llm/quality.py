@@ -162,18 +162,22 @@ class VoteModel:
             out[name] = self.shares[0] * (1 - rate[0]) + found
         return out
 
-    def posterior(self) -> Column:
-        """The probability that a text is good, from its votes."""
-        against = F.lit(0.0)
-        for z in range(1, len(self.shares)):
-            log_odds = F.lit(float(np.log(self.shares[z] / self.shares[0])))
-            for name, rate in zip(self.rules, self.bad):
-                says_bad = float(np.log(rate[z] / rate[0]))
-                says_good = float(np.log((1 - rate[z]) / (1 - rate[0])))
-                vote = F.when(F.col(name) < 0, says_bad).when(F.col(name) > 0, says_good)
-                log_odds = log_odds + vote.otherwise(0.0)
-            against = against + F.exp(log_odds)
-        return 1 / (1 + against)
+    def posteriors(self) -> np.ndarray:
+        """The probability of being good for each of the 3**R vote patterns, by pattern number."""
+        votes = np.indices((3,) * len(self.rules)).reshape(len(self.rules), -1).T - 1
+        bad = np.array(self.bad)
+        odds = np.log(self.shares) + (votes < 0) @ np.log(bad) + (votes > 0) @ np.log(1 - bad)
+        part = np.exp(odds - odds.max(1, keepdims=True))
+        return part[:, 0] / part.sum(1)
+
+    def add_posterior(self, voted: DataFrame, name: str = "p_good") -> DataFrame:
+        """Look the votes' pattern up in the table of all patterns, whose size the rules bound."""
+        number = F.lit(0)
+        for rule in self.rules:
+            number = number * 3 + F.col(rule) + 1
+        rows = list(enumerate(self.posteriors().tolist()))
+        table = voted.sparkSession.createDataFrame(rows, f"_pattern int, `{name}` double")
+        return voted.withColumn("_pattern", number.cast("int")).join(F.broadcast(table), "_pattern", "left").drop("_pattern")
 
 
 # What the model believes before it sees votes: how often a vote is bad on a good text, on a
@@ -225,6 +229,5 @@ def judge(
     names = [rule.name for rule in rules]
     voted = counts.select("*", *[rule.vote() for rule in rules])
     model = fit_votes(voted, names)
-    failed = base_failed()
-    out = voted.withColumns({"p_good": model.posterior(), "base_failed": failed})
+    out = model.add_posterior(voted).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= least)), model
