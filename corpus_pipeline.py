@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, minhash, quality
-from orderloom.llm.rows import KEY, only, with_key, without
+from orderloom.llm import decontam, minhash, mixing, quality, tokenfile
+from orderloom.llm.bpe import byte_bpe_path
+from orderloom.llm.rows import KEY, attach, only, with_key, without
 from orderloom.operators.storage import materialize
 
 
@@ -49,10 +50,31 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without(keyed, hit, ("doc_id", KEY)).drop(KEY)
 
 
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents appear as often as the mix takes them, a last partial time counting as a whole one.
+
+    Rows alike in id and text share what the mix takes of them. A text without words is not taken.
+    """
+    keyed = with_key(docs)
+    _, totals = mixing.mix_sources(keyed, ("doc_id", KEY))
+    summed = totals.groupBy("doc_id", KEY).agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    times = summed.where("taken > 0").select("doc_id", KEY, F.ceil(F.col("taken") / F.col("size")).alias("_times"))
+    mixed = attach(keyed, materialize(times, "times"), ("doc_id", KEY))
+    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))
+    return mixed.withColumn("_times", again).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all documents; per document its place, length and checksum as read back."""
+    return tokenfile.document_digests(tokenfile.write_token_files(docs, byte_bpe_path()))
+
+
 STAGES = [
     ("quality", quality_rules),
     ("near-duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("mixing", mixing_sources),
+    ("token-files", token_files),
 ]
 
 # Weighing rules by EM and writing token files have no SQL form.

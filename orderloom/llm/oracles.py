@@ -50,5 +50,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op10_mix_sources": f"""
+WITH
+d AS (
+  SELECT doc_id, coalesce('s' || source, 't') AS k, coalesce(len({_SPACED.format(text="text")}), 0) AS size,
+    md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS place FROM documents),
+s AS (
+  SELECT k, sum(size)::BIGINT AS total, [3, 1, 2][(row_number() OVER (ORDER BY k) - 1) % 3 + 1] AS w FROM d GROUP BY k),
+l AS (
+  SELECT *, (sum(total) OVER () * 150 - 100 * coalesce(sum(2 * total) OVER (
+      ORDER BY 2 * total / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / (100 * sum(w) OVER (ORDER BY 2 * total / w, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+  FROM s),
+t AS (SELECT k, total, least((2 * total)::DOUBLE, max(level) OVER () * w) AS target FROM l),
+p AS (
+  SELECT d.*, total, target, floor(target + 0.5)::BIGINT AS budget, coalesce(sum(size) OVER (
+      PARTITION BY k ORDER BY place, size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM d JOIN t USING (k))
+SELECT doc_id, size::BIGINT AS size, total AS source_size, target,
+  (greatest(0, least(start + size, budget) - start)
+   + greatest(0, least(total + start + size, budget) - total - start))::BIGINT AS taken
+FROM p
 """,
 }

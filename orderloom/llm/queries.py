@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, lm, minhash, quality
+from orderloom.llm import decontam, lm, minhash, mixing, quality, tokenfile
+from orderloom.llm.bpe import byte_bpe_path
 from orderloom.llm.oracles import ORACLES
 from orderloom.operators.storage import materialize
 
@@ -57,9 +58,21 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, totals = mixing.mix_sources(_read(spark, sf_dir, "documents"))
+    return totals
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenfile.write_token_files(_read(spark, sf_dir, "documents"), byte_bpe_path())
+    return tokenfile.document_digests(files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_token_files": op3_token_files,
     "op7_minhash": op7_minhash,
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,
+    "op10_mix_sources": op10_mix_sources,
 }

@@ -20,7 +20,8 @@ def with_key(docs: DataFrame) -> DataFrame:
 def _joined(table: DataFrame, keys: DataFrame, names: Sequence[str], how: str) -> DataFrame:
     """``keys`` is a written table of distinct keys; up to ``BROADCAST_KEYS`` of them (some tens of
     MB) go to the tasks that hold the wide rows, more take a shuffled join. Nulls are equal."""
-    side = keys.select(*[F.col(n).alias(f"_{i}_key") for i, n in enumerate(names)])
+    others = [c for c in keys.columns if c not in names]
+    side = keys.select(*[F.col(n).alias(f"_{i}_key") for i, n in enumerate(names)], *others)
     if keys.count() <= BROADCAST_KEYS:
         side = F.broadcast(side)
     match = [table[n].eqNullSafe(side[f"_{i}_key"]) for i, n in enumerate(names)]
@@ -33,3 +34,8 @@ def only(table: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def without(table: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
     return _joined(table, keys, names, "left_anti")
+
+
+def attach(table: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows with a key, with the other columns of ``keys``."""
+    return _joined(table, keys, names, "inner").drop(*[f"_{i}_key" for i in range(len(names))])
