@@ -72,5 +72,18 @@ SELECT doc_id, size::BIGINT AS size, total AS source_size, target,
   (greatest(0, least(start + size, budget) - start)
    + greatest(0, least(total + start + size, budget) - total - start))::BIGINT AS taken
 FROM p
+""",
+    "op2_warc": """
+WITH
+p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, n, array_to_string(list_transform(range(32), lambda i: substr(
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(h, 5 * (i // 4)::INT + 1, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS top FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM m
 """,
 }

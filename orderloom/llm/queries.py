@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, lm, minhash, mixing, quality, tokenfile
+from orderloom.llm import decontam, lm, minhash, mixing, quality, tokenfile, warc
 from orderloom.llm.bpe import byte_bpe_path
 from orderloom.llm.oracles import ORACLES
 from orderloom.operators.storage import materialize
@@ -63,6 +63,11 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(_read(spark, sf_dir, "pages"))
+    return warc.page_digests(warc.read_chunks(spark, archives))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tokenfile.write_token_files(_read(spark, sf_dir, "documents"), byte_bpe_path())
     return tokenfile.document_digests(files)
@@ -70,6 +75,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_warc": op2_warc,
     "op3_token_files": op3_token_files,
     "op7_minhash": op7_minhash,
     "op8_decontamination": op8_decontamination,

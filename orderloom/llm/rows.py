@@ -39,3 +39,8 @@ def without(table: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFram
 def attach(table: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
     """The rows with a key, with the other columns of ``keys``."""
     return _joined(table, keys, names, "inner").drop(*[f"_{i}_key" for i in range(len(names))])
+
+
+def attach_left(table: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
+    """All rows, with the other columns of ``keys`` or null."""
+    return _joined(table, keys, names, "left").drop(*[f"_{i}_key" for i in range(len(names))])
