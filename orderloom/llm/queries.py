@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, lm, minhash, mixing, quality, tokenfile, warc
+from orderloom.llm import decontam, lm, minhash, mixing, pseudonyms, quality, tokenfile, warc
 from orderloom.llm.bpe import byte_bpe_path
 from orderloom.llm.oracles import ORACLES
 from orderloom.operators.storage import materialize
@@ -27,6 +27,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A public key for tests and examples; a real one comes from a secret store.
+EXAMPLE_KEY = "example key"
+
+
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(_read(spark, sf_dir, "documents"), EXAMPLE_KEY)
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), minhash.Settings(words=2))
 
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
     "op3_token_files": op3_token_files,
+    "op4_pseudonyms": op4_pseudonyms,
     "op7_minhash": op7_minhash,
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,
