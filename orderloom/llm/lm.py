@@ -40,8 +40,8 @@ BITS_PER_TOKEN = 4
 PROBES = 4
 SHARD_BYTES = 192 << 20
 WORD_BYTES = 12
-MOST_HELD = 2_000_000
-TEXT_BYTES = 8 << 20
+MOST_HELD = 1_000_000
+TEXT_BYTES = 2 << 20
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, lm, minhash, mixing, pseudonyms, quality, tokenfile, warc
+from orderloom.llm import decontam, lengths, lm, minhash, mixing, pseudonyms, quality, tokenfile, warc
 from orderloom.llm.bpe import byte_bpe_path
 from orderloom.llm.oracles import ORACLES
 from orderloom.operators.storage import materialize
@@ -35,6 +35,10 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(_read(spark, sf_dir, "documents"), EXAMPLE_KEY)
 
 
+def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.length_histogram(lengths.encoded_lengths(_read(spark, sf_dir, "documents"), byte_bpe_path(), ()))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), minhash.Settings(words=2))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_token_files": op3_token_files,
     "op4_pseudonyms": op4_pseudonyms,
+    "op5_length_histogram": op5_length_histogram,
     "op7_minhash": op7_minhash,
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,

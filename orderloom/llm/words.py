@@ -1,6 +1,6 @@
 """Words of whole Arrow text columns as 64-bit hashes, without a Python object per word.
 
-The bytes of a batch are walked in pieces of a few MB that end between words,
+The bytes of a batch are walked in pieces of some 64 KB that end between words,
 so memory beyond the batch itself is bounded by the piece or the longest word.
 A word's hash is a polynomial over random byte values, taken from running sums:
 equal words have equal hashes, different words collide with odds of about 2**-64.
@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
-PIECE = 1 << 21
+PIECE = 1 << 16
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
