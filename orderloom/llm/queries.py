@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, lengths, lm, minhash, mixing, pseudonyms, quality, tokenfile, warc
+from orderloom.llm import decontam, html, lengths, lm, minhash, mixing, pseudonyms, quality, tokenfile, warc
 from orderloom.llm.bpe import byte_bpe_path
 from orderloom.llm.oracles import ORACLES
 from orderloom.operators.storage import materialize
@@ -39,6 +39,10 @@ def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.length_histogram(lengths.encoded_lengths(_read(spark, sf_dir, "documents"), byte_bpe_path(), ()))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_read(spark, sf_dir, "pages"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), minhash.Settings(words=2))
 
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_pseudonyms": op4_pseudonyms,
     "op5_length_histogram": op5_length_histogram,
+    "op6_html_text": op6_html_text,
     "op7_minhash": op7_minhash,
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,
