@@ -7,11 +7,11 @@
 3. A comparison looks at the signatures batch by batch and gives up as soon as
    the posterior probability of reaching the similarity falls below ``miss``.
 4. Survivors are verified on the full shingle sets, computed again from the texts.
-5. Buckets whose classes are not all connected by then are compared completely,
-   in blocks of bounded size inside tasks, leaving out classes already connected:
-   what links they add cannot be lost to the choice of the first class, and pairs
-   within a large group are never written out.
-6. Links, together with those of step 4, give the components.
+5. Buckets whose classes are not all connected by then are compared completely, by
+   steps 3 and 4, in blocks of bounded size inside tasks. Classes already connected
+   are left out, and only links that connect something are returned: none is lost to
+   the choice of the first class, and a large group's pairs are never written out.
+6. The links of steps 4 and 5 give the components.
 
 Defined cases: a null or empty text has no shingles and no links; with fewer
 words than a shingle the whole sequence is the one shingle; repeated rows belong
@@ -37,7 +37,7 @@ from orderloom.llm.rows import only
 from orderloom.llm.words import Words, bytewise, combine, mix, split_words
 from orderloom.operators.storage import materialize
 
-BLOCK = 256
+BLOCK = 128
 
 
 @dataclass(frozen=True)
@@ -139,7 +139,8 @@ def _banding(settings: Settings):
             for r in range(settings.rows):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + places[:, :, r])
             doc = batch.column("doc_id").take(pa.array(np.repeat(np.arange(n), settings.bands)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), doc], names=["bucket", "doc_id"])
+            band = pa.array(np.tile(np.arange(settings.bands, dtype=np.int32), n))
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), band, doc], names=["bucket", "band", "doc_id"])
 
     return run
 
@@ -175,11 +176,7 @@ def _verifying(settings: Settings):
             for batch in bytewise(bytewise([whole], "text_a"), "text_b"):
                 left = _shingles(split_words(batch.column("text_a")), settings.words)
                 right = _shingles(split_words(batch.column("text_b")), settings.words)
-                linked = []
-                for i, (x, y) in enumerate(zip(left, right)):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if both and 100 * both >= settings.percent * (len(x) + len(y) - both):
-                        linked.append(i)
+                linked = [i for i, (x, y) in enumerate(zip(left, right)) if _similar(x, y, settings.percent)]
                 at = pa.array(linked, pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], names=["a", "b"])
 
@@ -194,44 +191,73 @@ def _sides(pairs: DataFrame, table: DataFrame, value: str, name: str) -> DataFra
     return pairs
 
 
+def _first_shared(left: np.ndarray, right: np.ndarray, settings: Settings) -> np.ndarray:
+    """The first band on which signature lines agree."""
+    same = (left == right).reshape(-1, settings.bands, settings.rows).all(2)
+    return same.argmax(1)
+
+
+class _Sets:
+    """Shingle sets of a group's texts, each computed when it is first asked for."""
+
+    def __init__(self, texts: list[str], words: int):
+        self.texts, self.words, self.held = texts, words, {}
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if i not in self.held:
+            text = pa.array([self.texts[i]], pa.large_string())
+            self.held[i] = next(_shingles(split_words(text), self.words))
+        return self.held[i]
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _group_links(rows: list[tuple], band: int, settings: Settings, steps) -> list[tuple[int, int]]:
+    """Links within one block pair of a bucket that connect classes not connected before.
+
+    Every pair is looked at in the first bucket that it shares, by signatures, and verified on
+    the sets unless the links found so far connect it already.
+    """
+    number = {root: k for k, root in enumerate({r[1]: None for r in rows})}
+    home = np.array([number[r[1]] for r in rows])
+    block = np.array([r[2] for r in rows])
+    across = block.min() != block.max()
+    lines = np.frombuffer(b"".join(r[3] for r in rows), np.uint32).reshape(len(rows), settings.size)
+    sets = _Sets([r[4] for r in rows], settings.words)
+    found = []
+    for i in range(len(rows) - 1):
+        other = np.flatnonzero(home[i + 1 :] != home[i]) + i + 1
+        if across:
+            other = other[block[other] != block[i]]
+        other = other[_matches_enough(np.broadcast_to(lines[i], (len(other), settings.size)), lines[other], steps)]
+        other = other[_first_shared(lines[i], lines[other], settings) == band] if len(other) else other
+        for j in other.tolist():
+            if home[i] != home[j] and _similar(sets[i], sets[j], settings.percent):
+                found.append((rows[i][0], rows[j][0]))
+                home[home == home[j]] = home[i]
+    return found
+
+
 def _comparing(settings: Settings):
-    """Compare the members of one block pair of a bucket, except those already connected."""
-
-    def group(rows: list[tuple]) -> tuple[list, list]:
-        docs, roots = [r[0] for r in rows], np.unique([r[1] for r in rows], return_inverse=True)[1]
-        block = np.array([r[2] for r in rows])
-        lines = np.frombuffer(b"".join(r[3] for r in rows), np.uint32).reshape(len(rows), settings.size)
-        left, right = [], []
-        for i in range(len(rows) - 1):
-            other = np.flatnonzero(roots[i + 1 :] != roots[i]) + i + 1
-            if block.min() != block.max():
-                other = other[block[other] != block[i]]
-            found = other[_matches_enough(np.broadcast_to(lines[i], (len(other), settings.size)), lines[other], steps)]
-            left += [docs[i]] * len(found)
-            right += [docs[j] for j in found.tolist()]
-        return left, right
-
-    steps = settings.least_matches()
+    columns = ("bucket", "band", "low", "high", "doc_id", "root", "block", "signature", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = None
+        steps, kinds = settings.least_matches(), []
 
         def rows():
-            nonlocal kind
             for batch in batches:
-                kind = batch.column("doc_id").type
-                yield from zip(*(batch.column(n).to_pylist() for n in ("bucket", "low", "high", "doc_id", "root", "block", "signature")))
-
-        left, right = [], []
-        for _, members in groupby(rows(), key=lambda r: r[:3]):
-            found = group([r[3:] for r in members])
-            left += found[0]
-            right += found[1]
-            if len(left) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(left, kind), pa.array(right, kind)], names=["a", "b"])
-                left, right = [], []
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, kind), pa.array(right, kind)], names=["a", "b"])
+                kinds[:] = [batch.column("doc_id").type]
+                for part in bytewise([batch], "text", 8 << 20):
+                    yield from zip(*(part.column(n).to_pylist() for n in columns))
+
+        for key, members in groupby(rows(), key=lambda r: r[:4]):
+            if found := _group_links([r[4:] for r in members], key[1], settings, steps):
+                yield pa.RecordBatch.from_arrays([pa.array(x, kinds[0]) for x in zip(*found)], names=["a", "b"])
 
     return run
 
@@ -250,10 +276,14 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return materialize(both.distinct(), "ids")
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return only(texts, ids, ["doc_id"])
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, settings: Settings, kind: str) -> DataFrame:
     """The pairs (a written table) that are similar by their full shingle sets."""
-    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    needed = materialize(only(texts, _ids(pairs), ["doc_id"]), "texts")
+    needed = materialize(_texts(docs, _ids(pairs)), "texts")
     linked = _sides(pairs, needed, "text", "text").mapInArrow(_verifying(settings), f"a {kind}, b {kind}")
     return materialize(linked, "links")
 
@@ -269,9 +299,9 @@ def links(docs: DataFrame, signed: DataFrame, settings: Settings) -> tuple[DataF
     keys = classes.select("set_id", F.col("representative").alias("doc_id"))
     firsts = only(real, keys, ["set_id", "doc_id"])
     firsts = firsts.select("doc_id", "signature")
-    buckets = firsts.mapInArrow(_banding(settings), f"bucket bigint, doc_id {kind}")
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("members"), F.min("doc_id").alias("first"))
-    shared = materialize(buckets.join(sizes.where("members > 1"), "bucket"), "buckets")
+    buckets = firsts.mapInArrow(_banding(settings), f"bucket bigint, band int, doc_id {kind}")
+    sizes = buckets.groupBy("bucket", "band").agg(F.count("*").alias("members"), F.min("doc_id").alias("first"))
+    shared = materialize(buckets.join(sizes.where("members > 1"), ["bucket", "band"]), "buckets")
 
     pairs = shared.where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     pairs = materialize(pairs.distinct(), "pairs")
@@ -282,14 +312,16 @@ def links(docs: DataFrame, signed: DataFrame, settings: Settings) -> tuple[DataF
     roots = materialize(components(found), "first-roots")
     rooted = shared.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     rooted = materialize(rooted.withColumn("root", F.coalesce("root", "doc_id")), "rooted")
-    ends = rooted.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    mixed = rooted.join(ends.where("least != most"), "bucket", "left_semi")
-    work = _block_pairs(mixed.join(lines, "doc_id"))
-    work = work.select("bucket", "low", "high", "doc_id", "root", "block", "signature")
-    work = work.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    more = work.mapInArrow(_comparing(settings), f"a {kind}, b {kind}")
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    extra = _verified(materialize(more.join(pairs, ["a", "b"], "left_anti"), "pruned"), docs, settings, kind)
+    ends = rooted.groupBy("bucket", "band").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    mixed = rooted.join(ends.where("least != most"), ["bucket", "band"], "left_semi")
+    mixed = materialize(mixed, "mixed")
+    ids = materialize(mixed.select("doc_id").distinct(), "ids")
+    members = _texts(docs, ids).join(only(lines, ids, ["doc_id"]), "doc_id")
+    work = _block_pairs(mixed).join(members, "doc_id")
+    work = work.select("bucket", "band", "low", "high", "doc_id", "root", "block", "signature", "text")
+    key = ["bucket", "band", "low", "high"]
+    more = work.repartition(*key).sortWithinPartitions(*key).mapInArrow(_comparing(settings), f"a {kind}, b {kind}")
+    extra = materialize(more, "more-links")
     stars = roots.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     return classes, stars.unionByName(extra)
 
