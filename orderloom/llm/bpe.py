@@ -2,53 +2,100 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterable
 
 import numpy as np
 
 CACHED = 300_000
+# White space that is neither blank nor line feed; texts with it are not cut.
+_OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+_WIDE_SPACE = "     　" + "".join(map(chr, range(0x2000, 0x200B)))
 _loaded: dict[str, Encoder] = {}
 
 
+class _Cache:
+    """Ids of words that all follow the same prefix, as 32-bit numbers.
+
+    A word that ends in punctuation after a letter is two pieces to the library's splitting
+    pattern, so it is put together from the ids of both: one entry serves word and sentence end.
+    """
+
+    def __init__(self, encode, prefix: str, tails: dict[str, bytes]):
+        self.encode, self.prefix, self.tails, self.ids = encode, prefix, tails, {}
+
+    def learn(self, words: list[str]) -> None:
+        """Make sure that all of ``words`` are there; what was learned before may go if it is much."""
+        ids, wanted = self.ids, set(words)
+        if len(ids) > CACHED:
+            ids = self.ids = {w: ids[w] for w in wanted.intersection(ids)}
+        composed, single = [], set()
+        for word in wanted.difference(ids):
+            base = word.rstrip(string.punctuation)
+            if base != word and base and base[-1].isalpha():
+                composed.append((word, base, word[len(base) :]))
+                if base not in ids:
+                    single.add(base)
+            else:
+                single.add(word)
+        new = list(single)
+        ids.update(zip(new, self.encode([self.prefix + w for w in new])))
+        tails = list({tail for _, _, tail in composed if tail not in self.tails})
+        self.tails.update(zip(tails, self.encode(tails)))
+        for word, base, tail in composed:
+            ids[word] = ids[base] + self.tails[tail]
+
+
 class Encoder:
     """Encodes with a vocabulary file of the tokenizers library, without special tokens.
 
-    A byte-level BPE splits texts before single spaces that stand between two
-    other characters. Texts are cut there, and the library encodes each piece
-    that the cache does not hold. Texts with other runs of spaces, or spaces at
-    an end, go to the library as they are.
+    A byte-level BPE splits texts before single blanks and around single line feeds. Texts
+    are cut there, and the library encodes each piece that the cache does not hold. Texts
+    with any other white space go to the library as they are.
     """
 
     def __init__(self, path: str):
         import tokenizers
 
         self.library = tokenizers.Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        tails: dict[str, bytes] = {}
+        self.first, self.later = _Cache(self._encode, "", tails), _Cache(self._encode, " ", tails)
+        self.feed = self._encode(["\n"])[0]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32).tobytes() for x in found]
 
+    def _can_be_cut(self, text: str) -> bool:
+        if not text or text[0] in " \n" or text[-1] in " \n" or "<|" in text:
+            return False
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+            return False
+        others = _OTHER_SPACE if text.isascii() else _OTHER_SPACE + _WIDE_SPACE
+        return not any(c in text for c in others)
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         texts = list(texts)
-        pieces, whole, unknown = [], [], set()
-        cache = self.cache
-        if len(cache) > CACHED:
-            cache.clear()
-        for i, text in enumerate(texts):
-            if not text or text[0] == " " or text[-1] == " " or "  " in text or "<|" in text:
-                pieces.append(None)
-                whole.append(i)
-                continue
-            first, *rest = text.split(" ")
-            parts = [first, *[" " + x for x in rest]]
-            unknown.update(x for x in parts if x not in cache)
-            pieces.append(parts)
-        new = list(unknown)
-        cache.update(zip(new, self._encode(new)))
+        cut = [[line.split(" ") for line in t.split("\n")] if self._can_be_cut(t) else None for t in texts]
+        whole = [i for i, lines in enumerate(cut) if lines is None]
         direct = dict(zip(whole, self._encode([texts[i] for i in whole])))
-        return [direct[i] if parts is None else b"".join(map(cache.__getitem__, parts)) for i, parts in enumerate(pieces)]
+        lines = [line for found in cut if found is not None for line in found]
+        self.first.learn([line[0] for line in lines])
+        later = []
+        for line in lines:
+            later += line[1:]
+        self.later.learn(later)
+        return [direct[i] if found is None else self._joined(found) for i, found in enumerate(cut)]
+
+    def _joined(self, lines: list[list[str]]) -> bytes:
+        first, later = self.first.ids, self.later.ids.__getitem__
+        out = []
+        for line in lines:
+            out.append(self.feed)
+            out.append(first[line[0]])
+            out += map(later, line[1:])
+        return b"".join(out[1:])
 
 
 def encoder(path: str) -> Encoder:
