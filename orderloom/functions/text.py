@@ -167,5 +167,11 @@ def is_number(text: Column) -> Column:
 
 
 def to_quantity(text: Column) -> Column:
-    """The integer a digit text stands for; null when it is none or exceeds 64 bits."""
-    return F.when(is_number(text), ascii_digits(text).try_cast("bigint"))
+    """The integer, signed or not, that a cleaned text stands for.
+
+    Single underscores may stand between digits. Null when the text is no
+    integer or exceeds 64 bits.
+    """
+    digits = ascii_digits(text)
+    whole = digits.rlike(r"\A[+-]?[0-9]+(?:_[0-9]+)*\z")
+    return F.when(whole, F.replace(digits, F.lit("_"), F.lit("")).try_cast("bigint"))

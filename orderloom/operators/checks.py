@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.operators.skew import lookup
 
 
 def duplicate_keys(table: DataFrame, *keys: str) -> DataFrame:
@@ -42,5 +41,5 @@ def missing_fields(table: DataFrame, *columns: str) -> DataFrame:
 
 def unresolved(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """The order rows behind ``orphans``."""
-    known = customers.select(F.col("id").alias("customer_id"), F.lit(True).alias("_known"))
-    return lookup(orders, known, "customer_id").where(F.col("_known").isNull()).drop("_known")
+    known = customers.select(F.col("id").alias("customer_id"))
+    return orders.join(known, "customer_id", "left_anti").select(*orders.columns)

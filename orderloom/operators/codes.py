@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.operators.skew import lookup
 
 
 def first_positions(orders: DataFrame) -> DataFrame:
@@ -13,8 +12,15 @@ def first_positions(orders: DataFrame) -> DataFrame:
     return orders.groupBy("order_code").agg(F.min("pos").alias("first_pos"))
 
 
-def stored_codes(registry: DataFrame) -> DataFrame:
-    return registry.select("order_code").distinct().withColumn("stored", F.lit(True))
+def mark_stored(facts: DataFrame, registry: DataFrame) -> DataFrame:
+    """Add ``stored`` (true or null) to one row per code.
+
+    The registry is cut to the codes in question before anything else, so a few
+    codes reach a large registry as a broadcast and nothing of it is shuffled.
+    """
+    codes = registry.select("order_code")
+    asked = codes.join(facts.select("order_code"), "order_code", "left_semi").distinct()
+    return facts.join(asked.withColumn("stored", F.lit(True)), "order_code", "left")
 
 
 def flag_codes(orders: DataFrame, registry: DataFrame | None) -> DataFrame:
@@ -29,7 +35,7 @@ def flag_codes(orders: DataFrame, registry: DataFrame | None) -> DataFrame:
     if registry is None:
         facts = firsts.withColumn("stored", F.lit(False))
     else:
-        facts = firsts.join(stored_codes(registry), "order_code", "left")
+        facts = mark_stored(firsts, registry)
     facts = facts.withColumnRenamed("first_pos", "pos").withColumn("is_first", F.lit(True))
     return orders.join(facts, ["order_code", "pos"], "left").withColumns(
         {
@@ -41,8 +47,8 @@ def flag_codes(orders: DataFrame, registry: DataFrame | None) -> DataFrame:
 
 def flag_codes_on_every_row(orders: DataFrame, registry: DataFrame) -> DataFrame:
     """As ``flag_codes``, with ``stored`` on every row of a stored code, repeated or not."""
-    facts = first_positions(orders).join(stored_codes(registry), "order_code", "left")
-    return lookup(orders, facts, "order_code").withColumns(
+    facts = mark_stored(first_positions(orders), registry)
+    return orders.join(facts, "order_code", "left").withColumns(
         {
             "repeated": F.col("pos") > F.col("first_pos"),
             "stored": F.coalesce("stored", F.lit(False)),
@@ -58,9 +64,9 @@ def first_rows(orders: DataFrame) -> DataFrame:
 
 def already_stored(orders: DataFrame, registry: DataFrame) -> DataFrame:
     """Rows whose code the registry has."""
-    return lookup(orders, stored_codes(registry), "order_code", "left_semi")
+    return orders.join(registry.select("order_code"), "order_code", "left_semi")
 
 
 def not_stored(orders: DataFrame, registry: DataFrame) -> DataFrame:
     """Rows, at most one per code, whose code the registry lacks."""
-    return orders.join(stored_codes(registry), "order_code", "left_anti")
+    return orders.join(registry.select("order_code"), "order_code", "left_anti")

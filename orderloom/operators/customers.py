@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import text
 from orderloom.operators.ids import dense_ids
-from orderloom.operators.skew import lookup
 
 COLUMNS = ("id", "name", "normalized_name")
 
@@ -30,9 +29,12 @@ def first_spellings(rows: DataFrame) -> DataFrame:
         _key(rows).alias("normalized_name"),
         "pos",
     )
-    return named.groupBy("normalized_name").agg(
-        F.min_by("name", "pos").alias("name"), F.min("pos").alias("first_pos")
-    )
+    # Text is no hash aggregate's value, but it may be a key: first one row per spelling,
+    # and of these few the one that holds its customer's first position.
+    spellings = named.groupBy("normalized_name", "name").agg(F.min("pos").alias("pos"))
+    firsts = spellings.groupBy("normalized_name").agg(F.min("pos").alias("first_pos"))
+    pair = firsts.withColumn("pos", F.col("first_pos"))
+    return spellings.join(pair, ["normalized_name", "pos"]).select("normalized_name", "name", "first_pos")
 
 
 def new_customers(rows: DataFrame, customers: DataFrame) -> DataFrame:
@@ -71,7 +73,7 @@ def resolve(rows: DataFrame, customers: DataFrame) -> DataFrame:
     """Add ``customer_id`` by customer key. A customer may own any share of the rows."""
     keys = customers.select(F.col("id").alias("customer_id"), "normalized_name")
     keyed = rows.withColumn("normalized_name", _key(rows))
-    return lookup(keyed, keys, "normalized_name").drop("normalized_name", "customer_key")
+    return keyed.join(keys, "normalized_name", "left").drop("normalized_name", "customer_key")
 
 
 def search(customers: DataFrame, wanted: str | None) -> DataFrame:

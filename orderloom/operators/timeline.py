@@ -1,10 +1,10 @@
 """Per-key sequences: "the last value before this row" and "the position of this row".
 
-Spark puts one window group into one task. Keys of ordinary size take that
-path. The rows of heavy keys are range-partitioned by (key, order), written
-once, and each partition becomes a chunk of its own: windows run per
-(key, chunk), and one small carry table hands every chunk what came before it.
-The carry table has at most one row per chunk plus one per heavy key.
+Rows are range-partitioned by (key, order) and written once; each partition is
+a chunk. Windows run per (key, chunk), so a key with any share of the rows is
+spread over as many tasks as its rows need, and only a key that goes on from
+one chunk to the next needs what came before. Those keys are among the first
+and last keys of the chunks: at most two per chunk, whatever the data.
 """
 
 from __future__ import annotations
@@ -15,32 +15,22 @@ from copy import copy
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from orderloom.operators.skew import KeySizes, split_heavy
 from orderloom.operators.storage import materialize
 
 
 class Timeline:
     """Rows of a table in a unique order per key, open for sequence columns."""
 
-    def __init__(
-        self, df: DataFrame, key: str, order: Sequence[str], sizes: KeySizes | None = None
-    ):
-        heavy = (sizes or KeySizes(df, key)).heavy
-        self.key = key
-        self.order = list(order)
-        self.split = heavy is not None
-        self.groups = [key, "_chunk"] if self.split else [key]
-        self._rows = self._chunked(df, heavy) if self.split else df
-
-    def _chunked(self, df: DataFrame, heavy: DataFrame) -> DataFrame:
-        hot, rest = split_heavy(df, heavy, self.key)
-        pieces = materialize(
-            hot.repartitionByRange(self.key, *self.order).withColumn(
-                "_chunk", F.spark_partition_id() + 1
-            ),
-            "chunks",
-        )
-        return rest.withColumn("_chunk", F.lit(0)).unionByName(pieces)
+    def __init__(self, df: DataFrame, key: str, order: Sequence[str]):
+        self.key, self.order = key, list(order)
+        ranged = df.repartitionByRange(key, *self.order)
+        # Range bounds come from a sample: what follows must see one choice of them.
+        self._rows = materialize(ranged.withColumn("_chunk", F.spark_partition_id()), "chunks")
+        self._edges = self._edge_keys(self._rows)
+
+    def _edge_keys(self, rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy("_chunk").agg(F.min(self.key).alias("low"), F.max(self.key).alias("high"))
+        return ends.select(F.explode(F.array("low", "high")).alias(self.key)).distinct()
 
     def _with(self, rows: DataFrame) -> Timeline:
         changed = copy(self)
@@ -48,15 +38,12 @@ class Timeline:
         return changed
 
     def _window(self) -> WindowSpec:
-        return Window.partitionBy(*self.groups).orderBy(*self.order)
+        return Window.partitionBy(self.key, "_chunk").orderBy(*self.order)
 
     def _carried(self, chunk_value: Column, over_earlier: Column) -> DataFrame:
-        """What each chunk of a heavy key receives from the chunks before it."""
-        ends = (
-            self._rows.where(F.col("_chunk") > 0)
-            .groupBy(self.key, "_chunk")
-            .agg(chunk_value.alias("_end"))
-        )
+        """What each chunk of an edge key receives from the chunks before it."""
+        edge = self._rows.join(F.broadcast(self._edges), self.key, "left_semi")
+        ends = edge.groupBy(self.key, "_chunk").agg(chunk_value.alias("_end"))
         earlier = (
             Window.partitionBy(self.key)
             .orderBy("_chunk")
@@ -65,7 +52,7 @@ class Timeline:
         return ends.select(self.key, "_chunk", over_earlier.over(earlier).alias("_carry"))
 
     def _attach(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(carry), self.groups, "left")
+        return rows.join(F.broadcast(carry), [self.key, "_chunk"], "left")
 
     def derive(self, columns: dict[str, Column]) -> Timeline:
         """Add columns computed from the row itself."""
@@ -75,21 +62,18 @@ class Timeline:
         """Add the last non-null ``value`` among earlier rows of the same key."""
         earlier = self._window().rowsBetween(Window.unboundedPreceding, -1)
         rows = self._rows.withColumn(name, F.last(value, ignorenulls=True).over(earlier))
-        if self.split:
-            moment = F.when(value.isNotNull(), F.struct(*self.order))
-            carry = self._carried(F.max_by(value, moment), F.last("_end", ignorenulls=True))
-            rows = self._attach(rows, carry).withColumn(name, F.coalesce(name, "_carry"))
-            rows = rows.drop("_carry")
-        return self._with(rows)
+        moment = F.when(value.isNotNull(), F.struct(*self.order))
+        carry = self._carried(F.max_by(value, moment), F.last("_end", ignorenulls=True))
+        rows = self._attach(rows, carry).withColumn(name, F.coalesce(name, "_carry"))
+        return self._with(rows.drop("_carry"))
 
     def position(self, name: str) -> Timeline:
         """Add the 1-based position of the row among the rows of its key."""
         rows = self._rows.withColumn(name, F.row_number().over(self._window()).cast("bigint"))
-        if self.split:
-            carry = self._carried(F.count("*"), F.sum("_end"))
-            offset = F.coalesce("_carry", F.lit(0))
-            rows = self._attach(rows, carry).withColumn(name, F.col(name) + offset).drop("_carry")
-        return self._with(rows)
+        carry = self._carried(F.count("*"), F.sum("_end"))
+        offset = F.coalesce("_carry", F.lit(0))
+        rows = self._attach(rows, carry).withColumn(name, F.col(name) + offset)
+        return self._with(rows.drop("_carry"))
 
     def rows(self) -> DataFrame:
         return self._rows.drop("_chunk")

@@ -37,7 +37,8 @@ def with_current(history: DataFrame, orders: DataFrame) -> DataFrame:
 def look_up(history: DataFrame, orders: DataFrame, codes: DataFrame) -> DataFrame:
     """The answer for every requested code, found or not."""
     wanted = codes.select(text.order_code(F.col("order_code")).alias("order_code"))
-    known = with_current(history, orders).withColumn("success", F.lit(True))
+    own = [t.join(wanted, "order_code", "left_semi") for t in (history, orders)]
+    known = with_current(*own).withColumn("success", F.lit(True))
     code, found = F.col("order_code"), F.coalesce("success", F.lit(False))
     changes = F.coalesce("changes", F.lit(0))
     return wanted.join(known, "order_code", "left").select(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import domain, rules, text
 from orderloom.operators import codes
-from orderloom.operators.skew import lookup
 
 
 def normalize_orders(raw: DataFrame) -> DataFrame:
@@ -65,8 +64,8 @@ def validate_creations(
     created = candidates.groupBy("order_code").agg(
         F.min(F.when(F.size("_reasons") == 0, F.col("pos"))).alias("_created")
     )
-    facts = created.join(codes.stored_codes(registry), "order_code", "left")
-    flagged = lookup(candidates, facts, "order_code").withColumns(
+    facts = codes.mark_stored(created, registry)
+    flagged = candidates.join(facts, "order_code", "left").withColumns(
         {
             "repeated": F.lit(False),
             "stored": F.coalesce("stored", F.col("pos") > F.col("_created"), F.lit(False)),

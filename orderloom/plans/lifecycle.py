@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from orderloom.functions import domain, text
 from orderloom.operators import codes
 from orderloom.operators.ids import dense_ids
-from orderloom.operators.skew import KeySizes, lookup
 from orderloom.operators.timeline import Timeline
 
 # What became of one request.
@@ -33,6 +32,12 @@ def _initial(stored: DataFrame) -> DataFrame:
     return stored.select("order_code", F.col("status").alias("_stored"))
 
 
+def _with_stored(asked: DataFrame, stored: DataFrame) -> DataFrame:
+    """Add the stored status. The store is cut to the asked codes first, by a broadcast if they are few."""
+    wanted = _initial(stored).join(asked.select("order_code"), "order_code", "left_semi")
+    return asked.join(wanted, "order_code", "left")
+
+
 def update_statuses(
     requests: DataFrame,
     stored: DataFrame,
@@ -47,9 +52,7 @@ def update_statuses(
     status = F.col("status")
     valid = status.isin(*statuses)
     asked = normalize_requests(requests)
-    sizes = KeySizes(asked, "order_code")
-    found = lookup(asked, _initial(stored), "order_code", sizes=sizes)
-    timed = Timeline(found, "order_code", order, sizes).last_before(
+    timed = Timeline(_with_stored(asked, stored), "order_code", order).last_before(
         F.when(valid, status), "_previous"
     )
     old = F.coalesce("_previous", "_stored")
@@ -148,15 +151,14 @@ def replay(
     op, status = F.col("op"), F.col("status")
     valid = status.isin(*statuses)
     log = normalize_requests(commands)
-    sizes = KeySizes(log, "order_code")
     if stored is None:
         log = log.withColumn("_stored", F.lit(None).cast("string"))
     else:
-        log = lookup(log, _initial(stored), "order_code", sizes=sizes)
+        log = _with_stored(log, stored)
     exists_after = F.when((op == "create") & valid, True).when(op == "delete", False)
     log = log.withColumn("_exists_after", exists_after)
     alive = (
-        Timeline(log, "order_code", order, sizes)
+        Timeline(log, "order_code", order)
         .last_before(F.col("_exists_after"), "_exists_before")
         .derive({"_alive": F.coalesce("_exists_before", F.col("_stored").isNotNull())})
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,8 +13,11 @@ from orderloom.operators import codes, customers
 from orderloom.operators.ids import dense_ids
 from orderloom.operators.storage import materialize
 from orderloom.plans import intake
+from orderloom.sources import reports
 from orderloom.sources.store import OrderStore
 
+log = logging.getLogger(__name__)
+
 ORDER_COLUMNS = ("id", "order_code", "customer_id", "quantity", "status")
 
 
@@ -37,14 +41,45 @@ def insert_or_ignore(
 ) -> tuple[DataFrame, DataFrame]:
     """Orders to add when repeats inside the rows and stored codes are ignored, and the dimension.
 
-    Rows are normalized but not validated. Every row's customer is created,
-    also when its order is ignored.
+    Rows are normalized but not validated, except that every quantity must be an
+    integer: one that is not raises before anything is stored. Every row's
+    customer is created, also when its order is ignored.
     """
-    normalized = materialize(customers.with_keys(intake.normalize_orders(rows)), "seed")
+    normalized = _castable(rows)
     extended = customers.upsert(normalized, dimension)
     fresh = codes.not_stored(codes.first_rows(normalized), orders)
-    typed = fresh.withColumn("quantity", text.to_quantity(F.col("quantity")))
-    return number_orders(typed, extended, customers.highest_id(orders)), extended
+    return number_orders(fresh, extended, customers.highest_id(orders)), extended
+
+
+def _castable(rows: DataFrame) -> DataFrame:
+    """Normalized rows, written, with integer quantities; raises if there is another one."""
+    typed = customers.with_keys(intake.normalize_orders(rows)).withColumn(
+        "quantity", text.to_quantity(F.col("quantity"))
+    )
+    normalized = materialize(typed, "seed")
+    broken = normalized.where(F.col("quantity").isNull()).count()
+    if broken:
+        raise ValueError(f"{broken} rows have a quantity that is no integer; nothing was stored")
+    return normalized
+
+
+def store_or_ignore(store: OrderStore, rows: DataFrame) -> int:
+    """Insert or ignore ``rows`` into the store as one published batch; returns how many orders it added.
+
+    Customers of ignored orders are stored as well. Without a new order or customer nothing is published.
+    """
+    normalized = _castable(rows)
+    dimension = store.customers()
+    fresh = codes.not_stored(codes.first_rows(normalized), store.orders())
+    batch_id = store.next_batch()
+    store.write("customers", customers.additions(normalized, dimension), batch_id)
+    new = store.written("customers", batch_id)
+    linked = number_orders(fresh, dimension.unionByName(new), store.last_id("orders"))
+    store.write("orders", linked, batch_id)
+    added = store.written("orders", batch_id).count()
+    if added or not new.isEmpty():
+        store.publish(batch_id, ["customers", "orders"])
+    return added
 
 
 @dataclass(frozen=True)
@@ -59,6 +94,40 @@ class ImportResult:
     input_consumed: bool
     message: str
     skipped_orders: DataFrame | None = None
+    saved_orders: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class Preview:
+    """What an import would do, all of it read from one written table."""
+
+    validated: DataFrame
+    total_orders: int
+    valid_orders: int
+    invalid_orders: int
+    requires_confirmation: bool
+    seen: tuple[int, ...]
+
+    @property
+    def reasons(self) -> DataFrame:
+        return intake.reason_summary(self.validated)
+
+    @property
+    def orders_to_import(self) -> DataFrame:
+        return intake.accepted(self.validated).drop("customer_key")
+
+    @property
+    def orders_to_skip(self) -> DataFrame:
+        return intake.rejected(self.validated).drop("customer_key")
+
+
+def preview(store: OrderStore, raw: DataFrame) -> Preview:
+    """Validate a feed against the store once and write the outcome; the store is not changed."""
+    seen = tuple(store.published())
+    checked = intake.validate(raw, store.orders().select("order_code"))
+    validated = materialize(customers.with_keys(checked), "validated")
+    counts = intake.preview_counts(validated).first()
+    return Preview(validated, *counts, seen)
 
 
 def load_batch(store: OrderStore, accepted: DataFrame, batch_id: int) -> None:
@@ -71,42 +140,50 @@ def load_batch(store: OrderStore, accepted: DataFrame, batch_id: int) -> None:
 
 def import_orders(
     store: OrderStore,
-    raw: DataFrame,
+    raw: DataFrame | Preview,
     sources: DataFrame | None = None,
     confirmed: bool = False,
     origin: str | None = None,
+    report: str | None = None,
 ) -> ImportResult:
     """Validate a feed against the store and, once confirmed, load it as one batch.
 
+    A preview of the feed is taken as it is, and validated again only if the
+    store has changed since. ``report`` is where the reject report is written.
+
     Orders, customers and rejects are written first, and the manifest rows that
     publish them come last. A failure before that leaves the published store
     as it was and the input pending.
     """
     try:
-        checked = intake.validate(raw, store.orders().select("order_code"))
-        validated = materialize(customers.with_keys(checked), "validated")
-        skipped = intake.rejected(validated).drop("customer_key")
+        shown = raw if isinstance(raw, Preview) else preview(store, raw)
+        if shown.seen != tuple(store.published()):
+            shown = preview(store, shown.validated.drop("errors", "customer_key"))
+        skipped = shown.orders_to_skip
         if not confirmed:
             return ImportResult(
-                False, True, 0, skipped.count(), 0, False, domain.IMPORT_CANCELLED, skipped
+                False, True, 0, shown.invalid_orders, 0, False, domain.IMPORT_CANCELLED, skipped
             )
-        counts = intake.preview_counts(validated).first()
-        if counts.total_orders == 0:
+        if shown.total_orders == 0:
             return ImportResult(False, False, 0, 0, 0, False, domain.IMPORT_EMPTY)
 
         batch_id = store.next_batch()
-        load_batch(store, intake.accepted(validated), batch_id)
+        load_batch(store, intake.accepted(shown.validated), batch_id)
         store.write("rejects", skipped, batch_id)
+        if report is not None:
+            reports.write_report(shown.validated, report)
         store.publish(batch_id, ["customers", "orders", "rejects"], sources, origin)
     except Exception as error:
+        log.exception("import failed")
         return ImportResult(False, False, 0, 0, 0, False, domain.IMPORT_FAILED % error)
     return ImportResult(
         True,
         False,
-        counts.valid_orders,
-        counts.invalid_orders,
-        counts.invalid_orders,
+        shown.valid_orders,
+        shown.invalid_orders,
+        shown.invalid_orders,
         True,
         domain.IMPORT_DONE,
         skipped,
+        store.written("orders", batch_id),
     )

@@ -11,7 +11,8 @@ from orderloom.functions import domain
 from orderloom.operators import browse, customers
 from orderloom.operators.storage import materialize
 from orderloom.plans import history, intake, lifecycle
-from orderloom.plans.loading import load_batch
+from orderloom.plans.loading import Preview, load_batch
+from orderloom.plans.loading import preview as preview_import
 from orderloom.sources import csv
 from orderloom.sources.store import OrderStore
 
@@ -52,6 +53,11 @@ def export_orders(store: OrderStore, path: str) -> int:
     return csv.export_orders(browse.order_view(store.orders(), store.customers()), path)
 
 
+def preview(store: OrderStore, feed: DataFrame) -> Preview:
+    """What importing a feed would do: counts, reasons, orders to import and to skip."""
+    return preview_import(store, feed)
+
+
 def create_orders(
     store: OrderStore, candidates: DataFrame, statuses: Sequence[str] = domain.STATUSES
 ) -> DataFrame:
@@ -71,11 +77,12 @@ def update_statuses(
     order: Sequence[str],
     clock: Column | None = None,
     statuses: Sequence[str] = domain.STATUSES,
+    origin: str | None = None,
 ) -> DataFrame:
     """Apply update requests; orders and history change together, as one published batch.
 
-    ``clock`` says when a change happened, by default now. Returns every
-    request with its outcome and message.
+    ``clock`` says when a change happened, by default now; ``origin`` where the
+    requests came from. Returns every request with its outcome and message.
     """
     stored = store.orders()
     outcomes = materialize(
@@ -94,7 +101,7 @@ def update_statuses(
     store.write("updates", changed, batch_id)
     audit = lifecycle.audit_rows(outcomes, order, F.col("_at"), store.last_id("history"))
     store.write("history", audit, batch_id)
-    store.publish(batch_id, ["updates", "history"])
+    store.publish(batch_id, ["updates", "history"], origin=origin)
     return outcomes.drop("_at").withColumn("message", lifecycle.update_message())
 
 

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions import domain
 from orderloom.operators.storage import materialize
 
+# Offsets of so many splits (about 100 bytes each) may be broadcast.
+_MOST_OFFSETS = 1_000_000
+
+
+def as_path(name: str) -> str:
+    """A file name from the metadata as a path to read: decoded, and no character a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(name))
+
 
 def header_groups(
     spark: SparkSession, paths: str | Sequence[str]
@@ -19,7 +31,8 @@ def header_groups(
     Columns are bound by name and Spark takes the header of one file for all,
     so files with another column order must be read apart. When all headers
     agree the paths come back as given; else the driver receives the file
-    names, which it lists anyway to plan the scan.
+    names, which it lists anyway to plan the scan. Needed only after a read that
+    expects one header has failed, as it passes over the text of the drop.
     """
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
@@ -37,7 +50,7 @@ def header_groups(
         return [paths]
     groups: dict[str, list[str]] = {row.header: [] for row in distinct}
     for row in headers.orderBy("file").toLocalIterator():
-        groups[row.header].append(row.file)
+        groups[row.header].append(as_path(row.file))
     return list(groups.values())
 
 
@@ -69,14 +82,14 @@ def _read_group(
 def read_orders(
     spark: SparkSession,
     paths: str | Sequence[str],
-    multi_line: bool = True,
+    multi_line: bool = False,
     one_header: bool = False,
 ) -> DataFrame:
     """Raw orders of one or more CSV files, every field text, columns bound by name.
 
-    ``multi_line=False`` lets Spark split files that have no line breaks inside
-    quotes. ``one_header=True`` promises that all files share one header, which
-    saves reading their first lines; a file that breaks the promise raises.
+    Spark splits large files, unless ``multi_line=True`` says that quoted fields
+    hold line breaks: then a file is one task. ``one_header=True`` expects all
+    files to share one header; reading a file that has another raises.
     """
     if one_header:
         return _read_group(spark, paths, multi_line, check=True)
@@ -104,7 +117,8 @@ def number_lines(raw: DataFrame) -> DataFrame:
 
     Needs rows that were materialized, so that the row ids are fixed. Rows of
     one split have consecutive ids, so one offset per split is all it takes: no
-    sort and no shuffle of the rows.
+    sort, and no shuffle of the rows as long as the offsets of all splits are few
+    enough to broadcast.
     """
     split = ["source_file", "source_block"]
     before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
@@ -113,6 +127,9 @@ def number_lines(raw: DataFrame) -> DataFrame:
         .agg(F.min("source_row").alias("_first"), F.count("*").alias("_rows"))
         .select(*split, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
+    offsets = materialize(offsets, "offsets")
+    if offsets.count() <= _MOST_OFFSETS:
+        offsets = F.broadcast(offsets)
     pos = F.col("_offset") + F.col("source_row") - F.col("_first") + 1
     return raw.join(offsets, split).select(pos.alias("pos"), *domain.ORDER_FIELDS)
 
@@ -120,12 +137,21 @@ def number_lines(raw: DataFrame) -> DataFrame:
 def load_orders(
     spark: SparkSession,
     paths: str | Sequence[str],
-    multi_line: bool = True,
+    multi_line: bool = False,
     one_header: bool = False,
 ) -> DataFrame:
-    """Raw orders with ``pos``, parsed once and written to the shared folder."""
-    rows = read_orders(spark, paths, multi_line, one_header)
-    return number_lines(materialize(rows, "drop"))
+    """Raw orders with ``pos``, parsed once and written to the shared folder.
+
+    The files are first read as if they shared one header, which the reader
+    checks; only if one has another are they grouped by header and read again.
+    """
+    try:
+        written = materialize(read_orders(spark, paths, multi_line, one_header=True), "drop")
+    except (PySparkException, Py4JJavaError) as error:
+        if one_header or "CSV header does not conform" not in str(error):
+            raise
+        written = materialize(read_orders(spark, paths, multi_line), "drop")
+    return number_lines(written)
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderloom.functions import domain
@@ -32,10 +32,13 @@ def report_lines(validated: DataFrame) -> DataFrame:
 def write_report(validated: DataFrame, path: str) -> int:
     """Write both forms over any earlier report; returns the number of rejected orders.
 
-    The text parts, read in name order, give the whole report in feed order.
+    The text is made from the written rows, so ``validated`` is evaluated once. Its
+    parts, read in name order, give the whole report in feed order.
     """
-    rejects = intake.rejected(validated)
+    counted = Observation()
+    rejects = intake.rejected(validated).observe(counted, F.count("*").alias("rows"))
     rejects.write.mode("overwrite").json(f"{path}/rows")
-    lines = report_lines(validated).orderBy("part", "pos").select("entry")
+    written = validated.sparkSession.read.schema(rejects.schema).json(f"{path}/rows")
+    lines = report_lines(written).orderBy("part", "pos").select("entry")
     lines.write.mode("overwrite").text(f"{path}/text")
-    return rejects.count()
+    return counted.get["rows"]

@@ -104,6 +104,10 @@ class OrderStore:
     def rejects(self) -> DataFrame:
         return self._table("rejects")
 
+    def written_ids(self, table: str) -> DataFrame:
+        """The ids a table ever gave out, also of rows deleted since."""
+        return self._table(table).select("id")
+
     def last_id(self, table: str) -> int:
         """The highest id a table ever gave out; ids of deleted orders are not used again."""
         return self._table(table).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
@@ -142,7 +146,12 @@ class OrderStore:
         sources: DataFrame | None = None,
         origin: str | None = None,
     ) -> None:
-        """Make the tables a batch wrote visible; record its input files and where it came from."""
+        """Make the tables a batch wrote visible; record its input files and where it came from.
+
+        Fails when the batch is published already: then another writer took the same number.
+        """
+        if batch_id in self._manifest():
+            raise RuntimeError(f"batch {batch_id} was published by another writer")
         if sources is None:
             sources = self.spark.createDataFrame([(None,)], "source string")
         rows = sources.select(

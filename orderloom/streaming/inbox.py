@@ -1,60 +1,38 @@
-"""Continuous intake: every micro-batch of dropped files becomes one import."""
+"""Continuous intake: every announced drop of CSV files becomes one import."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.functions import domain
 from orderloom.plans.loading import import_orders
-from orderloom.sources.csv import load_orders
+from orderloom.sources.csv import list_files, load_orders
 from orderloom.sources.store import OrderStore
-
-_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+from orderloom.streaming.drops import process_drops
 
 
 def stream_intake(
     spark: SparkSession,
-    inbox: str,
+    markers: str,
     store: OrderStore,
     checkpoint: str,
-    files_per_trigger: int = 1000,
-    multi_line: bool = True,
+    drops_per_trigger: int | None = None,
+    multi_line: bool = False,
     pattern: str = "*.csv",
 ) -> StreamingQuery:
-    """Import what lies in the inbox and has not been imported, then stop.
+    """Import the announced drops that have not been imported, in order, then stop.
 
-    The stream carries file names; rows are read by the same CSV source as in
-    batch, so columns bind by name and file order is kept. The checkpoint says which
-    files a micro-batch holds. One that fails is not published and raises,
-    so the next run retries the same files; one that was published before the
-    checkpoint noticed is recognised by its origin and skipped.
+    Rows are read by the same CSV source as in batch, so columns bind by name and file
+    order is kept; a repeated code is found anywhere in its drop. A drop without orders
+    is passed over.
     """
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE_SCHEMA)
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .load(inbox)
-        .select("path")
-    )
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        origin = f"{checkpoint}#{batch_id}"
-        paths = sorted(row.path for row in batch.collect())
-        if not paths or store.has_origin(origin):
-            return
-        session = batch.sparkSession
-        sources = session.createDataFrame([(path,) for path in paths], "source string")
-        raw = load_orders(session, paths, multi_line)
+
+    def load(folder: str, origin: str) -> None:
+        sources = list_files(spark, folder, pattern).select("source")
+        raw = load_orders(spark, folder, multi_line)
         result = import_orders(store, raw, sources, confirmed=True, origin=origin)
         if not result.success and result.message != domain.IMPORT_EMPTY:
             raise RuntimeError(result.message)
 
-    return (
-        files.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return process_drops(spark, markers, store, checkpoint, load, drops_per_trigger)

@@ -1,66 +1,38 @@
-"""Live status tracking: audit rows from a stream of status requests."""
+"""Live status tracking: announced drops of status requests change the store."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import Column, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from orderloom.functions import domain
-from orderloom.plans.lifecycle import normalize_requests
+from orderloom.plans.service import update_statuses
+from orderloom.sources.store import OrderStore
+from orderloom.streaming.drops import process_drops
 
 
-def request_stream(
-    spark: SparkSession, folder: str, schema: StructType, bytes_per_trigger: int = 256 * 1024 * 1024
-) -> DataFrame:
-    """Parquet drops of status requests, read in micro-batches of a bounded size."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxBytesPerTrigger", bytes_per_trigger)
-        .parquet(folder)
-    )
-
-
-def stream_transitions(
-    requests: DataFrame,
+def stream_statuses(
+    spark: SparkSession,
+    markers: str,
+    store: OrderStore,
+    checkpoint: str,
+    schema: StructType | str,
     order: Sequence[str],
-    initial: str,
+    clock: Column | None = None,
     statuses: Sequence[str] = domain.STATUSES,
-) -> DataFrame:
-    """Real status changes, one audit row each, with the last status kept as state.
+    drops_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Apply the Parquet drops of requests that the store has not seen, in order, then stop.
 
-    Rows are sorted by ``order`` inside a micro-batch, and micro-batches count
-    in arrival order. One order's requests of one micro-batch meet in one task;
-    the source bounds them by the size of a micro-batch (see ``request_stream``).
+    Each drop is one bulk update by the batch operator: requests count in ``order``
+    inside the drop, start from the stored status, and change nothing where no order is.
     """
-    order = list(order)
-    accepted = normalize_requests(requests).where(F.col("status").isin(*statuses))
-    narrow = accepted.select(*order, "order_code", "status")
-    output = StructType(
-        [narrow.schema[name] for name in order]
-        + [StructField(name, StringType()) for name in ("order_code", "old_status", "new_status")]
-    )
 
-    def changes(
-        key: tuple, chunks: Iterable[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values(order, ignore_index=True)
-        before = state.get[0] if state.exists else initial
-        old = rows["status"].shift(1)
-        old.iloc[0] = before
-        state.update((rows["status"].iloc[-1],))
-        changed = rows.assign(old_status=old, new_status=rows["status"])
-        changed = changed[changed["old_status"] != changed["new_status"]]
-        yield changed[[*order, "order_code", "old_status", "new_status"]]
+    def apply(folder: str, origin: str) -> None:
+        requests = spark.read.schema(schema).parquet(folder)
+        update_statuses(store, requests, order, clock, statuses, origin)
 
-    return narrow.groupBy("order_code").applyInPandasWithState(
-        changes,
-        outputStructType=output,
-        stateStructType="status string",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
-    )
+    return process_drops(spark, markers, store, checkpoint, apply, drops_per_trigger)

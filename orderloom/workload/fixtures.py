@@ -50,6 +50,12 @@ def intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def integer_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The intake with an integer, signed or not, for every quantity."""
+    quantity = F.expr("CASE WHEN trim(quantity) IN ('', 'abc') THEN ' -5 ' ELSE quantity END")
+    return intake(spark, sf_dir).withColumn("quantity", quantity)
+
+
 def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders stored before the intake arrives, a second table beside it."""
     return orders_with_names(spark, sf_dir).where("k % 13 = 0").selectExpr(
@@ -142,3 +148,18 @@ def tracked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("order_code")
     )
     return users.withColumn("status", F.lit(EVENT_INITIAL))
+
+
+def tracked_store(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """A store of the tracked orders."""
+    store = OrderStore(spark, new_folder(spark, "store"))
+    orders = tracked_orders(spark, sf_dir).select(
+        F.col("order_code").cast("bigint").alias("id"),
+        "order_code",
+        F.lit(1).cast("bigint").alias("customer_id"),
+        F.lit(1).cast("bigint").alias("quantity"),
+        "status",
+    )
+    store.write("orders", orders, 0)
+    store.publish(0, ["orders"])
+    return store

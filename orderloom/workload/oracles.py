@@ -207,7 +207,7 @@ SELECT doc_id, replace(upper({strip("text")}), 'ẞ', 'SS') AS as_code,
 FROM documents""",
     "cast_quantity": _with(
         INTAKE,
-        "SELECT pos, CASE WHEN regexp_full_match(quantity, '[0-9]+') "
+        "SELECT pos, CASE WHEN regexp_full_match(quantity, '[+-]?[0-9]+') "
         "THEN try_cast(quantity AS BIGINT) END AS quantity FROM norm",
     ),
     "rule_order_code": _with(VALIDATED, "SELECT pos, order_code, code_reason AS reason FROM judged"),
@@ -391,6 +391,13 @@ FROM fresh""",
         "k.pos % 50 + 1 AS quantity, i.status FROM keyed k JOIN dimension d USING (normalized_name) "
         "JOIN intake i ON i.pos = k.pos",
     ),
+    "store_migration": _with(
+        SPELLINGS,
+        "SELECT k.pos AS id, 'ord' || k.pos AS order_code, d.id AS customer_id, "
+        "d.name AS customer_name, k.pos % 50 + 1 AS quantity, i.status, "
+        "(SELECT count(*) FROM intake) AS first, 0::BIGINT AS second "
+        "FROM keyed k JOIN dimension d USING (normalized_name) JOIN intake i ON i.pos = k.pos",
+    ),
     "migrate_legacy_customers": _with(
         SPELLINGS, "SELECT id, name, normalized_name FROM dimension"
     ),
@@ -419,9 +426,10 @@ GROUP BY 1""",
     ),
     "chk_not_null": _with(
         STORED,
-        "SELECT id, order_code, customer_id, quantity, status FROM stored_orders "
-        "WHERE id IS NULL OR order_code IS NULL OR customer_id IS NULL OR quantity IS NULL "
-        "OR status IS NULL",
+        "SELECT pos AS id, order_code, NULL::BIGINT AS quantity FROM norm "
+        "WHERE NOT regexp_full_match(quantity, '[+-]?[0-9]+') "
+        "UNION ALL SELECT id, order_code, quantity FROM stored_orders "
+        "WHERE id IS NULL OR order_code IS NULL OR quantity IS NULL",
     ),
     "delete_orders": _browsed(
         "order_code NOT IN (SELECT 'ORD' || l_orderkey FROM lineitem WHERE l_returnflag = 'R')"
@@ -497,14 +505,14 @@ FROM customer LEFT JOIN last ON last.order_code = CAST(c_custkey AS VARCHAR)""",
         UPDATES, "SELECT order_code, count(*) AS changes FROM history GROUP BY 1"
     ),
     "stream_transitions": _with(
-        UPDATES, "SELECT event_id, order_code, old_status, status AS new_status FROM transitions"
+        UPDATES, "SELECT id, order_code, old_status, new_status, changed_at FROM history"
     ),
 }
 
 # Seed rows: quantities are integers, nothing else is checked; ids continue the seeds'.
-ORACLES["insert_or_ignore"] = f"""WITH {INTAKE},
+_IGNORING = f"""WITH {INTAKE},
 castable AS (
-  SELECT * FROM norm WHERE regexp_full_match(quantity, '[0-9]+')),
+  SELECT * REPLACE (CASE WHEN quantity IN ('', 'abc') THEN '-5' ELSE quantity END AS quantity) FROM norm),
 firsts AS (
   SELECT * FROM castable QUALIFY row_number() OVER (PARTITION BY order_code ORDER BY pos) = 1),
 added AS (
@@ -518,10 +526,20 @@ first_named AS (
     min(batch * 1000000000000 + pos) AS seen
   FROM names GROUP BY 1),
 customers AS (
-  SELECT row_number() OVER (ORDER BY seen) AS id, name, normalized_name FROM first_named)
-SELECT (SELECT count(*) FROM seeds) + row_number() OVER (ORDER BY pos) AS id, order_code,
-  c.id AS customer_id, c.name AS customer_name, CAST(quantity AS BIGINT) AS quantity, status
-FROM added JOIN customers c ON c.normalized_name = lower(customer_name)"""
+  SELECT row_number() OVER (ORDER BY seen) AS id, name, normalized_name FROM first_named),
+inserted AS (
+  SELECT (SELECT count(*) FROM seeds) + row_number() OVER (ORDER BY pos) AS id, order_code,
+    c.id AS customer_id, c.name AS customer_name, CAST(quantity AS BIGINT) AS quantity, status
+  FROM added JOIN customers c ON c.normalized_name = lower(customer_name))"""
+
+ORACLES["insert_or_ignore"] = f"{_IGNORING} SELECT * FROM inserted"
+ORACLES["store_insert_or_ignore"] = f"""{_IGNORING},
+stored AS (
+  SELECT row_number() OVER (ORDER BY s.pos) AS id, order_code, c.id AS customer_id, c.name AS customer_name,
+    CAST(quantity AS BIGINT) AS quantity, status
+  FROM seeds s JOIN customers c ON c.normalized_name = lower(s.customer_name))
+SELECT *, (SELECT count(*) FROM inserted) AS first, 0::BIGINT AS second
+FROM (SELECT * FROM stored UNION ALL SELECT * FROM inserted)"""
 
 _LEGACY = f"""{INTAKE},
 flagged AS (

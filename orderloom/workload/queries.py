@@ -14,9 +14,9 @@ from orderloom.operators.storage import materialize, new_folder
 from orderloom.plans import history, intake, lifecycle, loading, migration, service
 from orderloom.sources import csv, reports
 from orderloom.sources.store import OrderStore
+from orderloom.streaming.drops import announce
 from orderloom.streaming.inbox import stream_intake as run_inbox
-from orderloom.streaming.statuses import request_stream
-from orderloom.streaming.statuses import stream_transitions as follow_statuses
+from orderloom.streaming.statuses import stream_statuses
 from orderloom.workload import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,28 +191,29 @@ def validate_legacy_counts(spark, sf_dir):
 # Preview and reports
 
 
+def previewed(spark: SparkSession, sf_dir: str) -> loading.Preview:
+    """The preview of the intake against the store of seeds."""
+    return service.preview(_seeded_store(spark, sf_dir), fixtures.intake(spark, sf_dir))
+
+
 @query
 def preview_counts(spark, sf_dir):
-    return intake.preview_counts(validated_intake(spark, sf_dir))
+    return intake.preview_counts(previewed(spark, sf_dir).validated)
 
 
 @query
 def reason_summary(spark, sf_dir):
-    return intake.reason_summary(validated_intake(spark, sf_dir))
+    return previewed(spark, sf_dir).reasons
 
 
 @query
 def accepted_orders(spark, sf_dir):
-    return intake.accepted(validated_intake(spark, sf_dir)).select(
-        "pos", *domain.ORDER_FIELDS
-    )
+    return previewed(spark, sf_dir).orders_to_import.select("pos", *domain.ORDER_FIELDS)
 
 
 @query
 def rejected_orders(spark, sf_dir):
-    return intake.rejected(validated_intake(spark, sf_dir)).select(
-        "pos", *domain.ORDER_FIELDS, "reasons"
-    )
+    return previewed(spark, sf_dir).orders_to_skip.select("pos", *domain.ORDER_FIELDS, "reasons")
 
 
 @query
@@ -231,13 +232,32 @@ def reject_report(spark, sf_dir):
 @query
 def insert_or_ignore(spark, sf_dir):
     """The intake as seed rows: quantities must be integers, nothing else is checked."""
-    rows = fixtures.intake(spark, sf_dir)
-    castable = rows.where(text.to_quantity(text.clean_text(F.col("quantity"))).isNotNull())
     store = _seeded_store(spark, sf_dir)
-    added, dimension = loading.insert_or_ignore(castable, store.orders(), store.customers())
+    rows = fixtures.integer_intake(spark, sf_dir)
+    added, dimension = loading.insert_or_ignore(rows, store.orders(), store.customers())
     return browse.order_view(added, dimension)
 
 
+@query
+def store_insert_or_ignore(spark, sf_dir):
+    """The same rows stored twice; the second time adds nothing."""
+    store = _seeded_store(spark, sf_dir)
+    rows = materialize(fixtures.integer_intake(spark, sf_dir), "feed")
+    first, second = (loading.store_or_ignore(store, rows) for _ in range(2))
+    told = F.lit(first).cast("bigint").alias("first"), F.lit(second).cast("bigint").alias("second")
+    return service.all_orders(store).select("*", *told)
+
+
+@query
+def store_migration(spark, sf_dir):
+    """Orders of the old layout moved into a store, twice; the second time adds nothing."""
+    store = OrderStore(spark, new_folder(spark, "store"))
+    legacy = materialize(fixtures.legacy_orders(spark, sf_dir), "legacy")
+    first, second = (migration.migrate_into(store, legacy) for _ in range(2))
+    told = F.lit(first).cast("bigint").alias("first"), F.lit(second).cast("bigint").alias("second")
+    return service.all_orders(store).select("*", *told)
+
+
 def _seeded_store(spark: SparkSession, sf_dir: str) -> OrderStore:
     store = OrderStore(spark, new_folder(spark, "store"))
     result = loading.import_orders(store, fixtures.seeds(spark, sf_dir), confirmed=True)
@@ -319,13 +339,14 @@ def inbox_pending(spark, sf_dir):
 
 @query
 def stream_intake(spark, sf_dir):
-    """The intake dropped as CSV, imported by the stream into a seeded store."""
+    """The intake dropped as CSV in many files, imported by the stream into a seeded store."""
     inbox, checkpoint = new_folder(spark, "inbox"), new_folder(spark, "checkpoint")
-    rows = fixtures.intake(spark, sf_dir).orderBy("pos").select(*domain.ORDER_FIELDS)
-    csv.write_csv(rows, inbox)
+    rows = fixtures.intake(spark, sf_dir).repartitionByRange(8, "pos").sortWithinPartitions("pos")
+    csv.write_csv(rows.select(*domain.ORDER_FIELDS), inbox)
+    announce(spark, f"{checkpoint}-markers", "intake", inbox)
     store = _seeded_store(spark, sf_dir)
     seeded = store.orders().select("order_code")
-    run_inbox(spark, inbox, store, checkpoint).awaitTermination()
+    run_inbox(spark, f"{checkpoint}-markers", store, checkpoint, 1).awaitTermination()
     loaded = browse.order_view(codes.not_stored(store.orders(), seeded), store.customers())
     accepted = loaded.select(
         "order_code",
@@ -568,8 +589,12 @@ def chk_restrict(spark, sf_dir):
 
 @query
 def chk_not_null(spark, sf_dir):
-    store = fixtures.loaded_store(spark, sf_dir)
-    return checks.missing_fields(store.orders(), *loading.ORDER_COLUMNS)
+    """Stored orders, and intake rows whose quantity is none: those are found."""
+    rows = intake.normalize_orders(fixtures.intake(spark, sf_dir)).select(
+        F.col("pos").alias("id"), "order_code", text.to_quantity(F.col("quantity")).alias("quantity")
+    )
+    stored = fixtures.loaded_store(spark, sf_dir).orders().select("id", "order_code", "quantity")
+    return checks.missing_fields(stored.unionByName(rows), "id", "order_code", "quantity")
 
 
 # Deletes
@@ -744,29 +769,21 @@ def history_counts(spark, sf_dir):
 
 @query
 def stream_transitions(spark, sf_dir):
-    """The status requests as three drops in arrival order, each followed by a run of the stream."""
-    inbox, output = new_folder(spark, "requests"), new_folder(spark, "audit")
-    checkpoint = new_folder(spark, "checkpoint")
+    """The status requests as three drops of eight files with overlapping times, applied by the stream."""
+    markers, checkpoint = new_folder(spark, "markers"), new_folder(spark, "checkpoint")
     requests = fixtures.status_requests(spark, sf_dir)
     bounds = requests.selectExpr(
         "min(ts) + (max(ts) - min(ts)) / 3 AS low",
         "min(ts) + (max(ts) - min(ts)) / 3 * 2 AS high",
     ).first()
+    store = fixtures.tracked_store(spark, sf_dir)
     ts = F.col("ts")
-    for part in (ts < bounds.low, (ts >= bounds.low) & (ts < bounds.high), ts >= bounds.high):
-        requests.where(part).write.mode("append").parquet(inbox)
-        audit = follow_statuses(
-            request_stream(spark, inbox, requests.schema),
-            EVENT_ORDER,
-            fixtures.EVENT_INITIAL,
-            fixtures.EVENT_STATUSES,
-        )
-        (
-            audit.writeStream.format("parquet")
-            .option("path", output)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-            .awaitTermination()
-        )
-    return spark.read.parquet(output).select("event_id", "order_code", "old_status", "new_status")
+    parts = (ts < bounds.low, (ts >= bounds.low) & (ts < bounds.high), ts >= bounds.high)
+    for number, part in enumerate(parts):
+        folder = new_folder(spark, "requests")
+        requests.where(part).repartition(8).write.parquet(folder)
+        announce(spark, markers, f"drop-{number}", folder)
+    stream_statuses(
+        spark, markers, store, checkpoint, requests.schema, EVENT_ORDER, ts, fixtures.EVENT_STATUSES, 1
+    ).awaitTermination()
+    return store.history()

@@ -2,12 +2,10 @@ from __future__ import annotations
 
 import pytest
 
-from orderloom.operators.skew import HEAVY_ROWS
 from orderloom.session import local_session
 
-# Small keys count as heavy, chunks stay apart, nothing is broadcast by size.
+# Chunks stay apart, nothing is broadcast by size.
 SPREAD = {
-    HEAVY_ROWS: "1",
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
 }

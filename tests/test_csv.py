@@ -41,6 +41,14 @@ def test_files_with_different_headers(spark, tmp_path):
         csv.load_orders(spark, str(tmp_path), one_header=True).collect()
 
 
+def test_names_that_look_like_patterns(spark, tmp_path):
+    drop(tmp_path, "a b.csv", HEADER + "A1,Anna,1,pending\n")
+    drop(tmp_path, "c[1]%20{x}.csv", "status,quantity,customer_name,order_code\npending,2,Berta,B1\n")
+    drop(tmp_path, "d*?.csv", HEADER + "D1,Dora,3,pending\n")
+    read = rows(csv.load_orders(spark, str(tmp_path)))
+    assert [r[0] for r in read] == ["A1", "B1", "D1"] and read[1] == ("B1", "Berta", "2", "pending")
+
+
 def test_untidy_rows(spark, tmp_path):
     drop(
         tmp_path,
@@ -54,7 +62,7 @@ def test_untidy_rows(spark, tmp_path):
         + "   \n"
         + "Q5,,,\n",
     )
-    assert rows(csv.load_orders(spark, str(tmp_path))) == [
+    assert rows(csv.load_orders(spark, str(tmp_path), multi_line=True)) == [
         ("Q1", 'Rossi, "Mario"', "1", "pending"),
         ("Q2", "two\nlines", "2", "pending"),
         ("Q3", "short", None, None),

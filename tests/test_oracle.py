@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_point
+from orderloom.workload.oracles import ORACLES
+from orderloom.workload.queries import QUERIES
 from tests.compare import connect, difference
 from tests.conftest import SPREAD
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 
 # Queries whose plan depends on the skew settings.
 SKEW_SENSITIVE = (
@@ -28,6 +29,10 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_point_serves_them():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 

@@ -50,7 +50,7 @@ def test_every_code_point(spark, tmp_path):
     expected["upper"] = expected["word"].str.upper()
     expected["fold"] = [word.casefold() for word in expected["word"]]
     expected["name"] = [python_name(value) for value in expected["spaced"]]
-    expected["number"] = [int(c + "7") if c.isdecimal() else None for c in points]
+    expected["number"] = [int(c + "7") if c.isdecimal() or c in "+-" else None for c in points]
     expected.astype({"number": "Int64"}).to_parquet(tmp_path / "points.parquet")
     frame = spark.read.parquet(str(tmp_path / "points.parquet")).repartition(8)
     word = F.col("word")
@@ -78,8 +78,11 @@ def test_missing_and_other_types(spark):
         ("007", 7),
         ("٣", 3),
         ("", None),
-        ("-5", None),
-        ("+5", None),
+        ("-5", -5),
+        ("+5", 5),
+        ("1_000", 1000),
+        ("_1", None),
+        ("--5", None),
         ("1.5", None),
         ("²", None),
         ("5\n", None),
