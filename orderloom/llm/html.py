@@ -353,11 +353,19 @@ def main_texts(htmls: Sequence[str], model: Model) -> list[str]:
 
 
 def training_pages(pages: DataFrame, most: int = TRAIN_PAGES, chars: int = TRAIN_CHARS) -> list[str]:
-    """At most ``most`` pages of at most ``chars`` characters that mark their article, by a hash of the id."""
+    """At most ``most`` pages of at most ``chars`` characters that mark their article, by a hash of id and html.
+
+    The smallest hashes are found first, so tasks hand the driver numbers, and then only the chosen pages.
+    """
     html = F.col("html").cast("string")
+    place = F.xxhash64(F.col("page_id").cast("string"), html)
     marked = pages.where(html.rlike("(?i)<(?:article|main)[ >]") & (F.length(html) <= chars))
-    order = F.xxhash64(F.col("page_id").cast("string"))
-    return [row[0] for row in marked.orderBy(order, html).limit(most).select(html).collect()]
+    marked = marked.select(place.alias("place"), html.alias("html"))
+    last = marked.select("place").orderBy("place").limit(most).agg(F.max("place")).first()[0]
+    if last is None:
+        return []
+    chosen = marked.where(F.col("place") <= last).limit(most).collect()
+    return [row.html for row in sorted(chosen)]
 
 
 def _extracting(shared):
