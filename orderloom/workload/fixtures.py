@@ -77,16 +77,21 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 _loaded: dict[tuple[str, str], OrderStore] = {}
 
 
+def new_loaded_store(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """A store that imported the seeds and then the intake."""
+    store = OrderStore(spark, new_folder(spark, "store"))
+    for feed in (seeds(spark, sf_dir), intake(spark, sf_dir)):
+        result = import_orders(store, feed, confirmed=True)
+        if not result.success:
+            raise RuntimeError(result.message)
+    return store
+
+
 def loaded_store(spark: SparkSession, sf_dir: str) -> OrderStore:
-    """A store that imported the seeds and then the intake; built once per session."""
+    """Such a store for queries that only read it; built once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _loaded:
-        store = OrderStore(spark, new_folder(spark, "store"))
-        for feed in (seeds(spark, sf_dir), intake(spark, sf_dir)):
-            result = import_orders(store, feed, confirmed=True)
-            if not result.success:
-                raise RuntimeError(result.message)
-        _loaded[key] = store
+        _loaded[key] = new_loaded_store(spark, sf_dir)
     return _loaded[key]
 
 

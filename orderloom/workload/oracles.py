@@ -493,8 +493,8 @@ FROM customer LEFT JOIN last ON last.order_code = CAST(c_custkey AS VARCHAR)""",
     ),
     "history_for_code": _with(
         UPDATES,
-        "SELECT id, order_code, old_status, new_status, changed_at FROM history "
-        "WHERE order_code = '42'",
+        "SELECT id, order_code, row_number() OVER (ORDER BY id) AS position, old_status, new_status, "
+        "changed_at FROM history WHERE order_code = '42'",
     ),
     "history_position": _with(
         UPDATES,
@@ -589,22 +589,12 @@ ORACLES["store_creations"] = _with(
     "JOIN stored_customers c ON c.normalized_name = lower(customer_name)",
 )
 
-_LIVED = f"""{NAMED},
-seeds AS (
-  SELECT k AS pos, 'ORD' || k AS order_code, replace(c_name, '#', ' ') AS customer_name,
-    k % 50 + 1 AS quantity,
-    CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'cancelled' END
-      AS status
-  FROM named WHERE k % 13 = 0),
-first_named AS (
-  SELECT customer_name, min(pos) AS seen FROM seeds GROUP BY 1),
-customers AS (
-  SELECT row_number() OVER (ORDER BY seen) AS id, customer_name FROM first_named),
+_LIVED = f"""{STORED},
 asked AS (
   SELECT l.*, order_code, s.status AS stored,
     CASE WHEN l_returnflag = 'N' THEN 'pending' WHEN l_returnflag = 'A' THEN 'completed'
       ELSE 'cancelled' END AS wanted
-  FROM lineitem l JOIN seeds s ON s.order_code = 'ORD' || l_orderkey
+  FROM lineitem l JOIN stored_orders s ON s.order_code = 'ORD' || l_orderkey
   WHERE l_returnflag <> 'R' OR l_linestatus = 'O'),
 paired AS (
   SELECT *, coalesce(lag(wanted) OVER (PARTITION BY order_code
@@ -623,10 +613,8 @@ ORACLES["store_history"] = _with(
 )
 ORACLES["store_lifecycle"] = _with(
     _LIVED,
-    """, numbered AS (SELECT *, row_number() OVER (ORDER BY pos) AS id FROM seeds)
-SELECT n.id, n.order_code, c.id AS customer_id, customer_name, quantity,
-  coalesce(last.status, n.status) AS status
-FROM numbered n JOIN customers c USING (customer_name)
-LEFT JOIN last ON last.order_code = n.order_code
-WHERE n.order_code NOT IN (SELECT 'ORD' || l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+    """
+SELECT v.id, v.order_code, customer_id, customer_name, quantity, coalesce(last.status, v.status) AS status
+FROM view v LEFT JOIN last ON last.order_code = v.order_code
+WHERE v.order_code NOT IN (SELECT 'ORD' || l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
 )

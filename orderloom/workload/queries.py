@@ -633,8 +633,8 @@ LINE_ORDER = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedp
 
 
 def _lived_store(spark: SparkSession, sf_dir: str) -> OrderStore:
-    """The seeds after one status request per order line and the deletes of returned lines."""
-    store = _seeded_store(spark, sf_dir)
+    """Seeds and intake after one status request per order line and the deletes of returned lines."""
+    store = fixtures.new_loaded_store(spark, sf_dir)
     requests = fixtures.table(spark, sf_dir, "lineitem").select(
         *LINE_ORDER,
         F.concat(F.lit("ord"), "l_orderkey").alias("order_code"),
@@ -752,7 +752,11 @@ def current_status(spark, sf_dir):
 
 @query
 def history_for_code(spark, sf_dir):
-    return history.for_code(update_history(spark, sf_dir), " 42 ")
+    """The numbered changes of one code, from the stored history."""
+    store = fixtures.tracked_store(spark, sf_dir)
+    requests = fixtures.status_requests(spark, sf_dir)
+    service.update_statuses(store, requests, EVENT_ORDER, F.col("ts"), fixtures.EVENT_STATUSES)
+    return service.status_history(store, " 42 ")
 
 
 @query
