@@ -29,7 +29,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.components import components
@@ -37,7 +37,7 @@ from orderloom.llm.rows import only
 from orderloom.llm.words import Words, bytewise, combine, mix, split_words
 from orderloom.operators.storage import materialize
 
-BLOCK = 128
+BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -218,7 +218,7 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _group_links(rows: list[tuple], band: int, settings: Settings, steps) -> list[tuple[int, int]]:
-    """Links within one block pair of a bucket that connect classes not connected before.
+    """Links within one group of a bucket that connect classes not connected before.
 
     Every pair is looked at in the first bucket that it shares, by signatures, and verified on
     the sets unless the links found so far connect it already.
@@ -244,7 +244,7 @@ def _group_links(rows: list[tuple], band: int, settings: Settings, steps) -> lis
 
 
 def _comparing(settings: Settings):
-    columns = ("bucket", "band", "low", "high", "doc_id", "root", "block", "signature", "text")
+    columns = ("bucket", "band", "kind", "low", "high", "doc_id", "root", "block", "signature", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         steps, kinds = settings.least_matches(), []
@@ -255,20 +255,41 @@ def _comparing(settings: Settings):
                 for part in bytewise([batch], "text", 8 << 20):
                     yield from zip(*(part.column(n).to_pylist() for n in columns))
 
-        for key, members in groupby(rows(), key=lambda r: r[:4]):
-            if found := _group_links([r[4:] for r in members], key[1], settings, steps):
+        for key, members in groupby(rows(), key=lambda r: r[:5]):
+            if found := _group_links([r[5:] for r in members], key[1], settings, steps):
                 yield pa.RecordBatch.from_arrays([pa.array(x, kinds[0]) for x in zip(*found)], names=["a", "b"])
 
     return run
 
 
 def _block_pairs(members: DataFrame) -> DataFrame:
-    """Deal a bucket's members into blocks and give every pair of blocks its own key."""
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    paired = dealt.select("*", other)
-    return paired.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    """Deal the members of buckets to groups of bounded size that together hold all pairs of interest.
+
+    A bucket's largest component is dealt to blocks, each class once, as its classes need no
+    comparison with each other. The other classes visit all of these blocks (``kind`` 0), and
+    each other in pairs of blocks of their own (``kind`` 1). ``block`` tells sides apart.
+    """
+    key = ["bucket", "band"]
+    parts = members.groupBy(*key, "root").agg(F.count("*").alias("n"))
+    tops = parts.groupBy(*key).agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"))
+    tops = tops.select(*key, F.col("top.root").alias("top"), F.col("top.n").alias("inside"), "all")
+
+    def blocks(n: Column) -> Column:
+        return F.ceil(n / BLOCK).cast("int")
+
+    def place(n: Column) -> Column:
+        return F.pmod(F.xxhash64("doc_id"), n).cast("int")
+
+    def to(kind: int, low: Column, high: Column, block: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"), block.alias("block"))
+
+    inner, outer = blocks(F.col("inside")), blocks(F.col("all") - F.col("inside"))
+    own, mine = place(inner), place(outer)
+    visits = F.transform(F.sequence(F.lit(0), inner - 1), lambda j: to(0, j, j, F.lit(1)))
+    pairs = F.transform(F.sequence(F.lit(0), outer - 1), lambda j: to(1, F.least(mine, j), F.greatest(mine, j), mine))
+    groups = F.when(F.col("root") == F.col("top"), F.array(to(0, own, own, F.lit(0)))).otherwise(F.concat(visits, pairs))
+    dealt = members.join(tops, key).select(*key, "doc_id", "root", F.explode(groups).alias("group"))
+    return dealt.select(*key, "doc_id", "root", "group.*")
 
 
 def _ids(pairs: DataFrame) -> DataFrame:
@@ -318,8 +339,8 @@ def links(docs: DataFrame, signed: DataFrame, settings: Settings) -> tuple[DataF
     ids = materialize(mixed.select("doc_id").distinct(), "ids")
     members = _texts(docs, ids).join(only(lines, ids, ["doc_id"]), "doc_id")
     work = _block_pairs(mixed).join(members, "doc_id")
-    work = work.select("bucket", "band", "low", "high", "doc_id", "root", "block", "signature", "text")
-    key = ["bucket", "band", "low", "high"]
+    key = ["bucket", "band", "kind", "low", "high"]
+    work = work.select(*key, "doc_id", "root", "block", "signature", "text")
     more = work.repartition(*key).sortWithinPartitions(*key).mapInArrow(_comparing(settings), f"a {kind}, b {kind}")
     extra = materialize(more, "more-links")
     stars = roots.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
