@@ -77,6 +77,21 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 _loaded: dict[tuple[str, str], OrderStore] = {}
 
 
+_seeded: dict[tuple[str, str], OrderStore] = {}
+
+
+def seeded_store(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """A store of the seeds for queries that only read it; built once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _seeded:
+        store = OrderStore(spark, new_folder(spark, "store"))
+        result = import_orders(store, seeds(spark, sf_dir), confirmed=True)
+        if not result.success:
+            raise RuntimeError(result.message)
+        _seeded[key] = store
+    return _seeded[key]
+
+
 def new_loaded_store(spark: SparkSession, sf_dir: str) -> OrderStore:
     """A store that imported the seeds and then the intake."""
     store = OrderStore(spark, new_folder(spark, "store"))

@@ -193,7 +193,7 @@ def validate_legacy_counts(spark, sf_dir):
 
 def previewed(spark: SparkSession, sf_dir: str) -> loading.Preview:
     """The preview of the intake against the store of seeds."""
-    return service.preview(_seeded_store(spark, sf_dir), fixtures.intake(spark, sf_dir))
+    return service.preview(fixtures.seeded_store(spark, sf_dir), fixtures.intake(spark, sf_dir))
 
 
 @query
