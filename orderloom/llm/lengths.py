@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.bpe import encoder
 from orderloom.llm.words import bytewise
+from orderloom.operators.storage import materialize
 
 SPAN = 1024
 
@@ -49,7 +50,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     ``share_up_to``, the quantile at which the length stands.
     """
     counts = lengths.where("n_tokens IS NOT NULL").groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
-    counts = counts.withColumn("range", F.expr(f"n_tokens div {SPAN}"))
+    # Both the sums over ranges and the rows come from the written counts: texts are encoded once.
+    counts = materialize(counts.withColumn("range", F.expr(f"n_tokens div {SPAN}")), "length-counts")
     tokens = F.col("n_tokens") * F.col("n_docs")
     ranges = counts.groupBy("range").agg(F.sum("n_docs").alias("docs"), F.sum(tokens).alias("tokens"))
     longer = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
