@@ -7,7 +7,9 @@ from collections.abc import Iterable
 
 import numpy as np
 
-CACHED = 300_000
+# Words held and bytes of text cut at once: workers live on after a task, so both stay small.
+CACHED = 120_000
+TEXT_BYTES = 1 << 20
 # White space that is neither blank nor line feed; texts with it are not cut.
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 _WIDE_SPACE = "     　" + "".join(map(chr, range(0x2000, 0x200B)))

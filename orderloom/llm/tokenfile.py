@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.bpe import encoder
+from orderloom.llm.bpe import TEXT_BYTES, encoder
 from orderloom.llm.files import Sink, open_input, own_file
 from orderloom.llm.words import bytewise
 from orderloom.operators.storage import materialize, new_folder
@@ -148,7 +148,7 @@ def _writing(folder: str, path: str, end_id: int, level: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, end, number = None, struct.pack("<I", end_id), 0
-        for batch in bytewise(batches, "_text", 4 << 20):
+        for batch in bytewise(batches, "_text", TEXT_BYTES):
             if writer is None:
                 writer = Writer(own_file(folder, ".tokens.zst"), level)
             sizes = []

@@ -150,7 +150,7 @@ def word_hash(word: str | bytes) -> int:
     return int(split_words(pa.array([raw.decode()]), fold=False).hashes[0])
 
 
-def bytewise(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def bytewise(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one hold about ``most`` bytes, or one longer text."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
