@@ -6,6 +6,7 @@ import string
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 
 # Words held and bytes of text cut at once: workers live on after a task, so both stay small.
 CACHED = 120_000
@@ -107,6 +108,14 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
+def rest(path: str) -> None:
+    """After a task: keep the vocabulary only, as the worker may live on for other work."""
+    if path in _loaded:
+        _loaded[path].first.ids.clear()
+        _loaded[path].later.ids.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def byte_bpe_path() -> str:
     """The public vocabulary that the registered queries use; it lies on every worker."""
     import public_tokenizers

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.bpe import TEXT_BYTES, encoder
+from orderloom.llm.bpe import TEXT_BYTES, encoder, rest
 from orderloom.llm.words import bytewise
 from orderloom.operators.storage import materialize
 
@@ -31,6 +31,7 @@ def _measuring(path: str):
             sizes = [len(ids) // 4 for ids in encoder(path).encode(batch.column("_text").to_pylist())]
             names = [n for n in batch.schema.names if n != "_text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sizes, pa.int64())], names=[*names, "n_tokens"])
+        rest(path)
 
     return run
 

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.bpe import TEXT_BYTES, encoder
+from orderloom.llm.bpe import TEXT_BYTES, encoder, rest
 from orderloom.llm.files import Sink, open_input, own_file
 from orderloom.llm.words import bytewise
 from orderloom.operators.storage import materialize, new_folder
@@ -167,6 +167,7 @@ def _writing(folder: str, path: str, end_id: int, level: int):
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "file_number", "file", "number", "n_tokens"])
         if writer is not None:
             writer.close()
+        rest(path)
 
     return run
 
