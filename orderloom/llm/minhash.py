@@ -265,9 +265,11 @@ def _comparing(settings: Settings):
 def _block_pairs(members: DataFrame) -> DataFrame:
     """Deal the members of buckets to groups of bounded size that together hold all pairs of interest.
 
-    A bucket's largest component is dealt to blocks, each class once, as its classes need no
-    comparison with each other. The other classes visit all of these blocks (``kind`` 0), and
-    each other in pairs of blocks of their own (``kind`` 1). ``block`` tells sides apart.
+    A bucket's largest component is dealt to inner blocks, the other classes to outer blocks.
+    Every inner block meets every outer block (``kind`` 0), and the outer blocks meet each other
+    (``kind`` 1); the classes of the largest component need no comparison with each other.
+    ``block`` tells sides apart. Classes are dealt by a hash, 3/4 of ``BLOCK`` to a block on
+    average, which leaves a group of two blocks 6 standard deviations below 2 * ``BLOCK`` rows.
     """
     key = ["bucket", "band"]
     parts = members.groupBy(*key, "root").agg(F.count("*").alias("n"))
@@ -275,7 +277,7 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     tops = tops.select(*key, F.col("top.root").alias("top"), F.col("top.n").alias("inside"), "all")
 
     def blocks(n: Column) -> Column:
-        return F.ceil(n / BLOCK).cast("int")
+        return F.when(n <= BLOCK, 1).otherwise(F.ceil(n / (0.75 * BLOCK))).cast("int")
 
     def place(n: Column) -> Column:
         return F.pmod(F.xxhash64("doc_id"), n).cast("int")
@@ -285,9 +287,10 @@ def _block_pairs(members: DataFrame) -> DataFrame:
 
     inner, outer = blocks(F.col("inside")), blocks(F.col("all") - F.col("inside"))
     own, mine = place(inner), place(outer)
-    visits = F.transform(F.sequence(F.lit(0), inner - 1), lambda j: to(0, j, j, F.lit(1)))
+    hosts = F.transform(F.sequence(F.lit(0), outer - 1), lambda j: to(0, own, j, F.lit(0)))
+    visits = F.transform(F.sequence(F.lit(0), inner - 1), lambda j: to(0, j, mine, F.lit(1)))
     pairs = F.transform(F.sequence(F.lit(0), outer - 1), lambda j: to(1, F.least(mine, j), F.greatest(mine, j), mine))
-    groups = F.when(F.col("root") == F.col("top"), F.array(to(0, own, own, F.lit(0)))).otherwise(F.concat(visits, pairs))
+    groups = F.when(F.col("root") == F.col("top"), hosts).otherwise(F.concat(visits, pairs))
     dealt = members.join(tops, key).select(*key, "doc_id", "root", F.explode(groups).alias("group"))
     return dealt.select(*key, "doc_id", "root", "group.*")
 

@@ -73,6 +73,35 @@ def test_chains_and_hubs(spark, monkeypatch):
     check(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), 2)
 
 
+def test_groups_are_bounded_and_hold_all_pairs(spark):
+    """One bucket of many small components, one with a large component beside them, one of two classes."""
+    roots = [(1, i, i - i % 2) for i in range(3000)]
+    roots += [(2, i, 0 if i < 700 else i - i % 3) for i in range(1900)] + [(3, 1, 1), (3, 2, 2)]
+    members = spark.createDataFrame([(b, 0, i, r) for b, i, r in roots], "bucket bigint, band int, doc_id bigint, root bigint")
+    groups = {}
+    for r in minhash._block_pairs(members).collect():
+        groups.setdefault((r.bucket, r.band, r.kind, r.low, r.high), []).append(r)
+    assert max(map(len, groups.values())) <= 2 * minhash.BLOCK
+    met = {1: set(), 2: set(), 3: set()}
+    for key, rows in groups.items():
+        one = len({r.block for r in rows}) == 1
+        ids = [(r.doc_id, r.root, r.block) for r in rows]
+        met[key[0]] |= {(i, j) for i, x, k in ids for j, y, m in ids if i < j and x != y and (one or k != m)}
+    for bucket, pairs in met.items():
+        own = [(i, r) for b, i, r in roots if b == bucket]
+        assert pairs == {(i, j) for i, x in own for j, y in own if i < j and x != y}
+
+
+def test_many_small_components_in_one_bucket(spark, monkeypatch):
+    """A template that all documents share, in pairs that are similar, each pair too far from the next."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    template, rows = prose(11, 100, 5000).split(), []
+    for i in range(60):
+        own = prose(100 + i, 24, 10**6).split()
+        rows += [(2 * i, " ".join(template + own)), (2 * i + 1, " ".join(template + own[:-1] + [f"y{i}"]))]
+    check(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), 2)
+
+
 def test_pruning_bounds_follow_the_posterior():
     steps = minhash.Settings().least_matches()
     assert [m for m, _ in steps] == [32, 64, 96, 128, 160, 192]
