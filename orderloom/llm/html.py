@@ -15,7 +15,8 @@ are) holds where labels say nothing; without labelled pages it is the model.
 
 Defined cases: a null or empty html has no text; html without elements is one run
 of text, judged like any other; broken and unclosed markup is closed where HTML
-closes it; repeated rows give equal rows; a null id or url is kept.
+closes it; svg, select, template and noscript are left out up to their own end tag,
+and where that is missing only the tag is; repeated rows give equal rows; a null id or url is kept.
 """
 
 from __future__ import annotations
@@ -46,7 +47,8 @@ _HINT = re.compile(r"[A-Za-z][a-z]+|[A-Z]+")
 # Fixed values of HTML: elements without an end tag, without text of the page, inside lines,
 # and those that a start tag of the same group closes.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe template svg select".split())
+RAW = frozenset("script style title textarea iframe".split())
+HIDDEN = frozenset("svg select template noscript".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q ruby s samp small span strike strong sub "
     "sup time tt u var".split()
@@ -54,6 +56,14 @@ INLINE = frozenset(
 CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 CLOSES = {tag: frozenset(closed.split()) for tag, closed in CLOSES.items()}
 SCOPES = frozenset("ul ol dl table tbody thead tfoot".split())
+# Start tags that end an open svg, and elements of svg that hold HTML.
+BREAKS = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+FOREIGN_HTML = frozenset("foreignobject desc title".split())
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"']\S*\Z")
 
 # What a page calls its parts.
 GOOD_TAGS = ("article", "main")
@@ -138,12 +148,65 @@ def other_parts(page: Page) -> list[bool]:
     return bad
 
 
+def _self_closed(attributes: str) -> bool:
+    """Whether a tag ends with a slash that is not the end of an unquoted value."""
+    return attributes.endswith("/") and not _UNQUOTED_END.search(_QUOTED.sub('""', attributes))
+
+
+def _skips(html: str) -> dict[int, int]:
+    """Where to go on behind start tags whose elements are left out, by the ends of these tags.
+
+    Elements of RAW run to their end tag or to the end of the page, but within svg they are like
+    any other. Those of HIDDEN are left out if their own end tag comes before that of an element
+    around them and before a tag that breaks out of svg. Self-closed elements are empty in svg.
+    """
+    skips: dict[int, int] = {}
+    opened: list[tuple[str, int, bool]] = []  # tag, end of its start tag, whether it holds svg
+    count: dict[str, int] = {}
+    at = 0
+
+    def pop() -> tuple[str, int, bool]:
+        last = opened.pop()
+        count[last[0]] -= 1
+        return last
+
+    while token := _TOKEN.search(html, at):
+        at = token.end()
+        tag = (token.group(2) or token.group(5) or "").lower()
+        ending = token.group(1) or token.group(4)
+        svg = bool(opened) and opened[-1][2]
+        if svg and not ending and tag in BREAKS:
+            while opened and opened[-1][2]:
+                pop()
+            svg = False
+        if not tag or (ending and not count.get(tag)):
+            continue
+        if ending:
+            while (last := pop())[0] != tag:
+                pass
+            if tag in HIDDEN or (tag in RAW and opened and opened[-1][2]):
+                skips[last[1]] = at
+        elif (svg or tag == "svg") and _self_closed(token.group(3) or token.group(6) or ""):
+            skips[at] = at
+        elif tag in INLINE or tag in VOID:
+            continue
+        elif tag in RAW and not svg:
+            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            start, at = at, end.end() if end else len(html)
+            skips[start] = at
+        else:
+            opened.append((tag, at, tag == "svg" or (svg and tag not in FOREIGN_HTML)))
+            count[tag] = count.get(tag, 0) + 1
+    return skips
+
+
 def parse(html: str) -> Page:
     """The block tree of a page. Text in inline elements belongs to the block around them."""
     page = Page()
     stack = [page.add(-1, "html")]
     run: list[str] = []
     linked, links, at = 0, 0, 0
+    skips = _skips(html)
 
     def put(text: str) -> None:
         nonlocal linked
@@ -182,6 +245,9 @@ def parse(html: str) -> Page:
         if not tag:
             continue
         ending = token.group(1) or token.group(4)
+        if not ending and (at in skips or tag in RAW or tag in HIDDEN):
+            at = skips.get(at, at)
+            continue
         if tag in INLINE:
             if tag == "a":
                 links = 0 if ending else 1
@@ -197,10 +263,6 @@ def parse(html: str) -> Page:
             close(frozenset((tag,)))
             links = 0
             continue
-        if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
-            continue
         close(frozenset(("p",)), SCOPES | {"td", "th", "li", "div"})
         if tag in CLOSES:
             close(CLOSES[tag], SCOPES - {"tbody", "thead", "tfoot"} if tag == "tr" else SCOPES)

@@ -31,6 +31,31 @@ def test_broken_pages(page):
     assert found[0] == found[2] and found[1]
 
 
+def texts(page):
+    return [t for t in html.parse(page).texts if t is not None]
+
+
+@pytest.mark.parametrize("tag", [
+    "<svg/>", '<svg class="icon"/>', "<svg class='a=b/' />", "<svg>", '<svg class="icon"><path d="M0"/>', "<svg class=icon/>", "<svg><title/>",
+    "<svg><style/><title>", "<select>", "<template>", "<noscript>", "<svg><g></svg>", "<select><option>x<option>y</select>",
+    "<template><div>x</template>", "<noscript><p>x</p></noscript>", "<svg><title>x</title><text>y</text><!-- </svg> --><a>z</a></svg>",
+])
+def test_nothing_is_cut_behind_a_hidden_element(tag):
+    assert texts(f"<body><p>One {tag}two.</p><div><p>Three.</p>four</div><article>five</article></body>") in (
+        ["One two.", "Three.", "four", "five"], ["One", "two.", "Three.", "four", "five"],
+    )
+    model = html.fit([PAGE] * 3)
+    for page in (PAGE.replace("<div id=wrap>", f"<div id=wrap>{tag}"), PAGE.replace("</head><body>", f"{tag}</head><body>")):
+        assert html.main_texts([page], model) == html.main_texts([PAGE], model)
+
+
+def test_hidden_text_is_left_out_and_raw_elements_run_on():
+    assert texts("<p>a <svg><text>b</text></svg>c <select><option>d</select>e<noscript>f</noscript> <template>g</template></p>h") == ["a c e", "h"]
+    assert texts("<p>a</p><svg><foreignObject><p>b</p></foreignObject><svg>c</svg>d</svg>e") == ["a", "e"]
+    for tag in ("script", "style", "title", "textarea", "iframe"):
+        assert texts(f"<p>a</p><{tag}/>b<p>c") == ["a"]
+
+
 def test_marginals_are_those_of_all_assignments():
     page = html.parse("<div><p>One.</p><ul><li>two</ul></div>three")
     model = html.prior_model()
