@@ -12,6 +12,11 @@ pair of residues; digit strings and mail names are two halves of characters, a
 letter staying a letter of its case and a digit a digit. Each round shifts one
 side by a keyed hash of the other, which any key and any sizes make invertible.
 
+IBANs in groups of four are looked for first, by the length of their country, so
+that their digits are not taken for a card; one that is not valid is text like any
+other. A phone number with + keeps its country code, and other values keep their
+blanks and hyphens, so all written forms of a card or an IBAN have one pseudonym.
+
 Defined cases: a null text stays null; text without values stays the same;
 values longer than their format's bound are no values. Dates written with the
 year last are taken day first where that is a date, month first otherwise.
@@ -34,12 +39,38 @@ YEAR_LAST = r"[0-9]{2}[./][0-9]{2}[./][0-9]{4}"
 IBAN = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"
 SOCIAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 ADDRESS = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
-CARD = r"[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{13,19}"
+GROUPED_CARD = r"[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}"
+CARD = GROUPED_CARD + r"|[0-9]{13,19}"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+# With + and country code: ten more digits after 1, else at most 15 digits, in any groups.
+INTERNATIONAL = (
+    r"\+(?!(?:" + "|".join([YEAR_FIRST, YEAR_LAST, ADDRESS, GROUPED_CARD]) + r")(?![0-9]))"
+    r"(?:1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+    r"|[2-9](?:(?:[ .-]|[ .-]?\(|\)[ .-]?)?[0-9]){6,14})"
+)
+COUNTRY = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+# Lengths of IBANs as registered.
+IBAN_LANDS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _in_fours(n: int, lands: str) -> str:
+    rest = f" [A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+    return f"(?:{lands.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}{rest}"
+
+
 # Values stand apart from letters and digits, and an address from further numbered parts.
 VALUE = (
     r"(?<![A-Za-z0-9._%+-])(?:" + EMAIL + r")|(?<![A-Za-z0-9]|[0-9][./-])(?:"
-    + "|".join([YEAR_FIRST, YEAR_LAST, IBAN, SOCIAL, ADDRESS, CARD, PHONE])
+    + "|".join([YEAR_FIRST, YEAR_LAST, IBAN, SOCIAL, ADDRESS, CARD, PHONE, INTERNATIONAL])
+    + r")(?![A-Za-z0-9]|[./-][0-9])"
+)
+IBAN_IN_FOURS = (
+    r"(?<![A-Za-z0-9]|[0-9][./-])(?:" + "|".join(_in_fours(n, lands) for n, lands in IBAN_LANDS.items())
     + r")(?![A-Za-z0-9]|[./-][0-9])"
 )
 
@@ -152,6 +183,10 @@ def _iban(key: str, value: Column) -> Column:
     return F.when(valid, F.concat(land, F.lpad(check.cast("string"), 2, "0"), other))
 
 
+def _iban_in_fours(key: str, value: Column) -> Column:
+    return F.regexp_replace(_iban(key, F.replace(value, F.lit(" "), F.lit(""))), "(.{4})(?=.)", "$1 ")
+
+
 def _address(key: str, value: Column) -> Column:
     parts = F.transform(F.split(value, r"\."), lambda p: p.cast("int"))
     plain = value.rlike(r"^(?:0|[1-9][0-9]*)(?:\.(?:0|[1-9][0-9]*)){3}$")
@@ -203,6 +238,13 @@ def _phone(key: str, value: Column) -> Column:
     return _refilled(value, F.concat(land, permute_characters(key, "phone", digits.substr(F.length(digits) - 9, F.lit(10)))))
 
 
+def _international(key: str, value: Column) -> Column:
+    digits = _digits(value)
+    land = F.regexp_extract(digits, COUNTRY, 0)
+    own = digits.substr(F.length(land) + 1, F.length(digits))
+    return _refilled(value, F.concat(land, permute_characters(key, "phone", own)))
+
+
 def pseudonym(key: str, value: Column) -> Column:
     """The pseudonym of a value, null for what is not valid."""
     full = lambda pattern: value.rlike(f"^(?:{pattern})$")
@@ -215,6 +257,7 @@ def pseudonym(key: str, value: Column) -> Column:
         .when(full(ADDRESS), _address(key, value))
         .when(full(CARD), _card(key, value))
         .when(full(PHONE), _phone(key, value))
+        .when(full(INTERNATIONAL), _international(key, value))
     )
 
 
@@ -223,15 +266,42 @@ def pseudonymise(
 ) -> DataFrame:
     """``keep``, the text with pseudonyms as ``name``, and how many valid values were replaced."""
     column = F.col(f"`{text}`").cast("string")
-    found = F.when(column.rlike(r"[0-9@]"), F.regexp_extract_all(column, F.lit(VALUE), 0))
     kept = [F.col(c) for c in keep]
-    located = docs.select(*kept, column.alias("_text"), F.coalesce(found, F.array().cast("array<string>")).alias("_found"))
-    changed = located.withColumn("_new", F.transform("_found", lambda v: pseudonym(key, v)))
-    put = F.zip_with("_found", "_new", lambda old, new: F.coalesce(new, old))
-    pieces = F.split("_text", VALUE, -1)
-    joined = F.array_join(F.zip_with(pieces, put, lambda piece, v: F.concat(piece, F.coalesce(v, F.lit("")))), "")
+    none = F.array().cast("array<string>")
+    grouped = F.when(column.rlike(IBAN_IN_FOURS), F.regexp_extract_all(column, F.lit(IBAN_IN_FOURS), 0))
+    located = docs.select(*kept, column.alias("_text"), F.coalesce(grouped, none).alias("_grouped"))
+    located = located.withColumn("_ibans", F.transform("_grouped", lambda v: _iban_in_fours(key, v)))
+    # The text between the valid ones, which is searched for all other values.
+    spans = F.arrays_zip(F.split("_text", IBAN_IN_FOURS, -1).alias("piece"), F.col("_grouped").alias("old"), F.col("_ibans").alias("new"))
+    start = F.struct(none.alias("parts"), F.lit("").alias("last"))
+
+    def glue(state: Column, span: Column) -> Column:
+        text = F.concat(state["last"], span["piece"])
+        ended = F.struct(F.concat(state["parts"], F.array(text)).alias("parts"), F.lit("").alias("last"))
+        longer = F.struct(state["parts"].alias("parts"), F.concat(text, F.coalesce(span["old"], F.lit(""))).alias("last"))
+        return F.when(span["new"].isNotNull(), ended).otherwise(longer)
+
+    glued = F.aggregate(spans, start, glue, lambda state: F.concat(state["parts"], F.array(state["last"])))
+    located = located.withColumn("_parts", F.when(F.size("_grouped") == 0, F.array("_text")).otherwise(glued))
+    found = F.transform(
+        "_parts", lambda p: F.coalesce(F.when(p.rlike(r"[0-9@]"), F.regexp_extract_all(p, F.lit(VALUE), 0)), none)
+    )
+    changed = located.withColumn("_found", found)
+    changed = changed.withColumn("_new", F.transform("_found", lambda values: F.transform(values, lambda v: pseudonym(key, v))))
+
+    def put(part: Column, values: Column) -> Column:
+        new = F.zip_with(values["old"], values["new"], lambda old, other: F.coalesce(other, old))
+        pieces = F.split(part, VALUE, -1)
+        joined = F.array_join(F.zip_with(pieces, new, lambda piece, v: F.concat(piece, F.coalesce(v, F.lit("")))), "")
+        return F.when(F.size(values["old"]) == 0, part).otherwise(joined)
+
+    pairs = F.zip_with("_found", "_new", lambda old, new: F.struct(old.alias("old"), new.alias("new")))
+    parts = F.zip_with("_parts", pairs, put)
+    ibans = F.filter("_ibans", lambda v: v.isNotNull())
+    whole = F.array_join(F.zip_with(parts, ibans, lambda part, v: F.concat(part, F.coalesce(v, F.lit("")))), "")
+    replaced = F.size(F.filter(F.flatten("_new"), lambda v: v.isNotNull())) + F.size(ibans)
     return changed.select(
         *kept,
-        F.when(F.size("_found") == 0, F.col("_text")).otherwise(joined).alias(name),
-        F.size(F.filter("_new", lambda v: v.isNotNull())).cast("bigint").alias("n_replaced"),
+        F.when(F.col("_text").isNotNull(), whole).alias(name),
+        replaced.cast("bigint").alias("n_replaced"),
     )

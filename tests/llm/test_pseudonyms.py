@@ -46,6 +46,43 @@ def test_values_keep_their_format_and_links(spark):
     assert replaced(spark, values) == new != replaced(spark, values, "other key")
 
 
+def test_written_forms_of_one_value(spark):
+    shape = lambda x: re.sub("[A-Z]", "A", re.sub("[0-9]", "9", x))
+    iban = "DE89370400440532013000"
+    fours = " ".join(iban[i : i + 4] for i in range(0, 22, 4))
+    amex = with_check("37828224631000")
+    values = [
+        f"to {fours} 1234 EUR, {fours}.", iban, f"{amex[:4]} {amex[4:10]}-{amex[10:]}", amex, "+15551234567 or +1 (555) 123-4567",
+        "+44 20 7946 0958.", "+442079460958", "+49 30 123456", "+8613812345678", "BE68 5390 0754 7034 EUR",
+        "GB82 WEST 1234 5698 7654 32 mail a@b.de", "+44 (0)20 7946 0958",
+    ]
+    new = replaced(spark, values)
+    for old, text in zip(values, new):
+        assert old != text and (shape(old) == shape(text) or "@" in old)
+    own = " ".join(new[1][i : i + 4] for i in range(0, 22, 4))
+    assert new[0] == f"to {own} 1234 EUR, {own}."
+    assert re.sub("[ -]", "", new[2]) == new[3] and luhn(new[3])
+    first, second = new[4].split(" or ")
+    assert first.startswith("+1") and re.sub("[^0-9+]", "", second) == first
+    assert new[5].startswith("+44 ") and new[5].replace(" ", "") == new[6] + "." and "7946 0958" not in new[5]
+    assert new[7].startswith("+49 ") and new[8].startswith("+86")
+    for text in (new[0][3:30], new[9][:19], new[10][:27]):
+        text = text.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+
+
+def test_groups_that_are_no_iban_are_text(spark):
+    card = with_check("411111111111111")
+    spaced = " ".join(card[i : i + 4] for i in range(0, 16, 4))
+    plain, after = replaced(spark, [spaced, f"BE20 {spaced} and DE88 3704 0044 0532 0130 00 5"])
+    assert after.startswith(f"BE20 {plain} and DE88 ") and plain != spaced
+    stays = ["+1.2.3", "+12345", "+999.1.1.1", "1234 567890 12345", "XX89 3704 0044 0532 0130 0", None, ""]
+    keep = [x for x in stays if x is None or not luhn(x)] + [""]
+    assert replaced(spark, keep) == keep
+    docs = spark.createDataFrame([(1, "GB82 WEST 1234 5698 7654 32 and a@b.de, BE68 5390 0754 7034")], "doc_id int, text string")
+    assert pseudonyms.pseudonymise(docs, "k").first().n_replaced == 3
+
+
 def test_what_is_not_valid_stays(spark):
     bad = ["9807915762804491 9807915762804492 98079157628044", "256.1.1.1 1.2.3.4.5 01.2.3.4", "2021-02-30 1850-01-01", "000-12-3456",
            "DE88370400440532013000", "a 12345 b", "x@y", "v1.2.3", "", None]
