@@ -4,6 +4,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +47,16 @@ def test_scores_against_exact_counts(spark, table, shard):
         assert exact - 1e-6 <= r.score <= exact + 0.05 * len(own) + 1  # chance hits only raise it, and rarely
 
 
+def test_unseen_pairs_seldom_pass_as_seen(spark):
+    """Nearly all pairs are distinct, so there are as many events as tokens."""
+    words = np.random.default_rng(3).integers(0, 20_000, (200, 2500))
+    texts = [(" ".join(f"w{w}" for w in row),) for row in words]
+    model = lm.train(spark.createDataFrame(texts, "text string"))
+    unseen = np.random.default_rng(4).integers(0, 1 << 63, 200_000, dtype=np.uint64)
+    passed = sum(model.shard(k).levels(unseen, model.segments) > 0 for k in range(model.shards))
+    assert 0 < passed.mean() < 0.027
+
+
 def test_nothing_to_learn_from(spark):
     model = lm.train(nothing(spark))
     rows = lm.score(documents(spark), model).collect()
