@@ -5,6 +5,24 @@ from __future__ import annotations
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 
+
+def _cluster_round(n: int) -> str:
+    """Assign every vector to the centroids of round ``n - 1`` and move them."""
+    return f"""
+placed{n} AS MATERIALIZED (
+  SELECT vec_id, x, list_min(list_transform(range(1, len(cs) + 1), lambda i: struct_pack(
+    d := list_sum(list_transform(range(1, 65), lambda j: (x[j] - cs[i][j]) * (x[j] - cs[i][j])))::BIGINT, c := i - 1))) AS best
+  FROM kept, (SELECT list(c ORDER BY cluster) AS cs FROM centroids{n - 1})),
+parts{n} AS (SELECT best.c AS cluster, unnest(x) AS v, unnest(range(1, 65)) AS j FROM placed{n}),
+means{n} AS (
+  SELECT cluster, j, sum(v)::BIGINT AS s, count(*) AS n FROM parts{n} GROUP BY cluster, j),
+centroids{n} AS MATERIALIZED (
+  SELECT cluster, coalesce(new.c, old.c) AS c FROM centroids{n - 1} AS old LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY j) AS c FROM means{n} GROUP BY cluster) AS new USING (cluster))"""
+
+
+_CLUSTER_ROUNDS = ",".join(map(_cluster_round, range(1, 12)))
+
 ORACLES: dict[str, str] = {
     "op7_minhash": f"""
 WITH RECURSIVE
@@ -85,5 +103,19 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> top THEN top END AS refers_to
 FROM m
+""",
+    # Vectors are placed by the centroids after ten rounds; the centroids of the eleventh are not used.
+    "op12_clusters": f"""
+WITH
+kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda c: coalesce(isfinite(c), false)))),
+ranked AS (SELECT x AS c, row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS cluster FROM kept),
+centroids0 AS MATERIALIZED (SELECT cluster, c FROM ranked WHERE cluster < 8),{_CLUSTER_ROUNDS},
+inertias AS (SELECT best.c AS cluster, sum(best.d)::BIGINT AS cluster_inertia FROM placed11 GROUP BY 1),
+total AS (SELECT sum(cluster_inertia)::BIGINT AS inertia FROM inertias)
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance, cluster_inertia, inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM placed11 JOIN inertias ON inertias.cluster = best.c JOIN centroids10 ON centroids10.cluster = best.c, total
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, html, lengths, lm, minhash, mixing, pseudonyms, quality, tokenfile, warc
+from orderloom.llm import clusters, decontam, html, lengths, lm, minhash, mixing, pseudonyms, quality, tokenfile, warc
 from orderloom.llm.bpe import byte_bpe_path
 from orderloom.llm.oracles import ORACLES
 from orderloom.operators.storage import materialize
@@ -89,6 +89,22 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.document_digests(files)
 
 
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = clusters.cluster(_read(spark, sf_dir, "embeddings"))
+    sums = clusters.cluster_sums(assigned)
+    numbers = range(max(1, len(centroids)))
+    inertias = F.array(*[F.lit(sums.get(i, 0)).cast("bigint") for i in numbers])
+    digests = F.array(*[F.lit(clusters.centroid_digest(centroids[i]) if centroids else "") for i in numbers])
+    return assigned.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        inertias[F.col("cluster")].alias("cluster_inertia"),
+        F.lit(sum(sums.values())).cast("bigint").alias("inertia"),
+        digests[F.col("cluster")].alias("centroid_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
@@ -100,4 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,
     "op10_mix_sources": op10_mix_sources,
+    "op12_clusters": op12_clusters,
 }
