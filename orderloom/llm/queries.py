@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import clusters, decontam, html, lengths, lm, minhash, mixing, pseudonyms, quality, tokenfile, warc
+from orderloom.llm import (
+    clusters,
+    decontam,
+    html,
+    lengths,
+    lm,
+    minhash,
+    mixing,
+    pseudonyms,
+    quality,
+    sharding,
+    tokenfile,
+    warc,
+)
 from orderloom.llm.bpe import byte_bpe_path
 from orderloom.llm.oracles import ORACLES
 from orderloom.operators.storage import materialize
@@ -89,6 +102,18 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.document_digests(files)
 
 
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned, centroids = clusters.cluster(_read(spark, sf_dir, "embeddings"))
     sums = clusters.cluster_sums(assigned)
@@ -116,5 +141,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,
     "op10_mix_sources": op10_mix_sources,
+    "op11_shards": op11_shards,
     "op12_clusters": op12_clusters,
 }
