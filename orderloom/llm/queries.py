@@ -20,6 +20,7 @@ from orderloom.llm import (
     sharding,
     tokenfile,
     warc,
+    whitening,
 )
 from orderloom.llm.bpe import byte_bpe_path
 from orderloom.llm.oracles import ORACLES
@@ -130,6 +131,21 @@ def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, distinct, fit = whitening.whiten(_read(spark, sf_dir, "embeddings"))
+    shares = [] if fit is None else (fit.values / fit.trace).tolist()
+    explained = F.array(*[F.lit(share) for share in shares or [0.0]])
+    return rows.select(
+        "vec_id",
+        "component",
+        F.lit(0 if fit is None else fit.rows).cast("bigint").alias("n"),
+        F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        "whitened",
+        explained[F.col("component") - 1].alias("explained"),
+        F.lit(0.0 if fit is None else whitening.identity_error(distinct, fit)).alias("identity_error"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
@@ -143,4 +159,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_sources": op10_mix_sources,
     "op11_shards": op11_shards,
     "op12_clusters": op12_clusters,
+    "op13_whitening": op13_whitening,
 }
