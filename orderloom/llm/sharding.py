@@ -51,7 +51,7 @@ def utf8(text: Column) -> Column:
 
 
 def sized_rows(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """The columns to keep, the text's size and checksum, and the key."""
+    """The columns to keep, the text's size and checksum, the key, and the range that all rows start in."""
     text = utf8(F.col("text"))
     kept = [F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(keep)]
     return docs.select(
@@ -61,6 +61,7 @@ def sized_rows(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
         F.xxhash64(text).alias("text_hash"),
         F.xxhash64("doc_id").alias("id_hash"),
         F.monotonically_increasing_id().alias("row"),
+        F.lit(0).cast("bigint").alias("range"),
     )
 
 
@@ -104,11 +105,11 @@ def _dealt(rows: DataFrame, bounds: DataFrame, entries: int) -> DataFrame:
 
 
 def ranged(rows: DataFrame, how: Sharding) -> tuple[DataFrame, DataFrame]:
-    """``rows`` with ``range`` numbers in key order, and the ranges' ``rows, bytes, largest``; both written.
+    """``rows``, written, with ``range`` numbers in key order, and the ranges' ``rows, bytes, largest``, written.
 
     The driver learns how many ranges are overfull; ranges and bounds stay in written tables.
     """
-    rows, limit, level = rows.withColumn("range", F.lit(0).cast("bigint")), 0, 0
+    limit, level = 0, 0
     while True:
         sums = (F.count("*").alias("rows"), F.sum("size").alias("bytes"), F.max("size").alias("largest"))
         ranges = materialize(rows.groupBy("range").agg(*sums), "ranges")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.llm import sharding
+from orderloom.operators.storage import materialize
 from tests.llm.samples import clashing, documents, nothing
 
 SMALL = sharding.Sharding(shards=3, range_rows=4)
@@ -65,7 +66,7 @@ def test_a_third_is_one_text_and_ids_are_missing(spark, monkeypatch):
     share = sum(r[1] for r in found) / 8
     sums = [sum(r[1] for r in found if r[3] == s) for s in range(8)]
     assert max(abs(s - share) for s in sums) <= share / 50
-    rows, ranges = sharding.ranged(sharding.sized_rows(docs, ()), sharding.Sharding())
+    rows, ranges = sharding.ranged(materialize(sharding.sized_rows(docs, ()), "sized"), sharding.Sharding())
     assert ranges.agg(F.max("rows")).first()[0] <= 2 * max(20, 6000 >> sharding.FAN_BITS)
 
 
