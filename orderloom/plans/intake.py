@@ -74,6 +74,39 @@ def validate_creations(
     return _with_errors(flagged.drop("_created", "_reasons"), statuses)
 
 
+def validate_drops(
+    raw: DataFrame, registry: DataFrame, statuses: Sequence[str] = domain.STATUSES
+) -> DataFrame:
+    """Validate several drops at once as if each was loaded before the next one was looked at.
+
+    ``raw`` carries the number of its ``drop`` and a ``pos`` that goes on over the drops. A code
+    repeats inside its drop only; from the first drop whose first row of the code passes, later
+    drops find the code stored.
+    """
+    candidates = normalize_orders(raw).withColumn(
+        "_reasons", rules.collect_reasons(*rules.field_reasons(statuses))
+    )
+    passes = (F.size("_reasons") == 0) & (F.col("order_code") != "")
+    firsts = candidates.groupBy("order_code", "drop").agg(
+        F.min("pos").alias("pos"), F.min_by(passes, F.col("pos")).alias("_passes")
+    )
+    loaded = firsts.groupBy("order_code").agg(F.min(F.when(F.col("_passes"), F.col("drop"))).alias("_loaded"))
+    known = codes.mark_stored(loaded, registry)
+    facts = firsts.join(known, "order_code").select(
+        "order_code",
+        "pos",
+        F.coalesce("stored", F.col("drop") > F.col("_loaded"), F.lit(False)).alias("stored"),
+        F.lit(True).alias("_is_first"),
+    )
+    flagged = candidates.join(facts, ["order_code", "pos"], "left").withColumns(
+        {
+            "repeated": (F.col("order_code") != "") & F.col("_is_first").isNull(),
+            "stored": F.coalesce("stored", F.lit(False)),
+        }
+    )
+    return _with_errors(flagged.drop("_is_first", "_reasons"), statuses)
+
+
 def validate_legacy(
     raw: DataFrame, registry: DataFrame, statuses: Sequence[str] = domain.STATUSES
 ) -> DataFrame:

@@ -107,6 +107,8 @@ class Preview:
     invalid_orders: int
     requires_confirmation: bool
     seen: tuple[int, ...]
+    # Several drops, each validated as if those before it had been loaded.
+    by_drop: bool = False
 
     @property
     def reasons(self) -> DataFrame:
@@ -121,13 +123,17 @@ class Preview:
         return intake.rejected(self.validated).drop("customer_key")
 
 
-def preview(store: OrderStore, raw: DataFrame) -> Preview:
-    """Validate a feed against the store once and write the outcome; the store is not changed."""
+def preview(store: OrderStore, raw: DataFrame, by_drop: bool = False) -> Preview:
+    """Validate a feed against the store once and write the outcome; the store is not changed.
+
+    ``by_drop`` says that the feed is several drops (column ``drop``), one after another.
+    """
     seen = tuple(store.published())
-    checked = intake.validate(raw, store.orders().select("order_code"))
+    validate = intake.validate_drops if by_drop else intake.validate
+    checked = validate(raw, store.orders().select("order_code"))
     validated = materialize(customers.with_keys(checked), "validated")
     counts = intake.preview_counts(validated).first()
-    return Preview(validated, *counts, seen)
+    return Preview(validated, *counts, seen, by_drop)
 
 
 def load_batch(store: OrderStore, accepted: DataFrame, batch_id: int) -> None:
@@ -158,7 +164,7 @@ def import_orders(
     try:
         shown = raw if isinstance(raw, Preview) else preview(store, raw)
         if shown.seen != tuple(store.published()):
-            shown = preview(store, shown.validated.drop("errors", "customer_key"))
+            shown = preview(store, shown.validated.drop("errors", "customer_key"), shown.by_drop)
         skipped = shown.orders_to_skip
         if not confirmed:
             return ImportResult(

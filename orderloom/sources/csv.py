@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import domain
 from orderloom.operators.storage import materialize
+from orderloom.sources import records
 
 # Offsets of so many splits (about 100 bytes each) may be broadcast.
 _MOST_OFFSETS = 1_000_000
@@ -88,7 +89,7 @@ def read_orders(
     """Raw orders of one or more CSV files, every field text, columns bound by name.
 
     Spark splits large files, unless ``multi_line=True`` says that quoted fields
-    hold line breaks: then a file is one task. ``one_header=True`` expects all
+    hold line breaks: then a file is one task (``load_orders`` splits those as well). ``one_header=True`` expects all
     files to share one header; reading a file that has another raises.
     """
     if one_header:
@@ -142,26 +143,39 @@ def load_orders(
 ) -> DataFrame:
     """Raw orders with ``pos``, parsed once and written to the shared folder.
 
-    The files are first read as if they shared one header, which the reader
+    ``multi_line=True`` says that quoted fields may hold line breaks; such files are split all the
+    same (see ``records``). Without it every line is a record: the files are first read as if they shared one header, which the reader
     checks; only if one has another are they grouped by header and read again.
     """
+    if multi_line:
+        lines = records.with_origin(spark.read.option("lineSep", "\n").text(paths))
+        split = records.split_records(lines)
+        if one_header and split.where("number = 1").select("record").distinct().count() > 1:
+            raise ValueError("CSV header does not conform to the schema: the files have several")
+        bound = materialize(records.bind_fields(split, domain.ORDER_FIELDS), "drop")
+        files = bound.select("file", F.col("file").alias("drop")).distinct()
+        return records.number_rows(bound, files).select("pos", *domain.ORDER_FIELDS)
     try:
-        written = materialize(read_orders(spark, paths, multi_line, one_header=True), "drop")
+        written = materialize(read_orders(spark, paths, one_header=True), "drop")
     except (PySparkException, Py4JJavaError) as error:
         if one_header or "CSV header does not conform" not in str(error):
             raise
-        written = materialize(read_orders(spark, paths, multi_line), "drop")
+        written = materialize(read_orders(spark, paths), "drop")
     return number_lines(written)
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """The files below a folder (``source``, ``modified``); contents are not read."""
+    """The files below a folder by version: ``source, length, modified``; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .load(folder)
-        .select(F.col("path").alias("source"), F.col("modificationTime").alias("modified"))
+        .select(
+            F.col("_metadata.file_path").alias("source"),
+            F.col("_metadata.file_size").alias("length"),
+            F.col("_metadata.file_modification_time").alias("modified"),
+        )
     )
 
 

@@ -22,9 +22,15 @@ TABLES = {
     "history": (
         "id bigint, order_code string, old_status string, new_status string, changed_at string"
     ),
-    "manifest": "source string, origin string, tables array<string>, published_at timestamp",
+    # One row per input file, by its version: a file written anew under its name is another version.
+    "manifest": (
+        "source string, length bigint, modified timestamp, origin string, tables array<string>, "
+        "published_at timestamp"
+    ),
 }
 
+VERSION = ("source", "length", "modified")
+
 
 class OrderStore:
     """Tables below one root folder, each a folder per batch.
@@ -118,15 +124,20 @@ class OrderStore:
         return manifest is not None and not manifest.where(F.col("origin") == origin).isEmpty()
 
     def consumed(self) -> DataFrame:
-        """Input files that published batches have consumed."""
+        """Versions of input files that published batches have consumed; null where only a path was given."""
         manifest = self._stored("manifest")
         if manifest is None:
-            return self.spark.createDataFrame([], "source string")
-        return manifest.where(F.col("source").isNotNull()).select("source").distinct()
+            return self.spark.createDataFrame([], "source string, length bigint, modified timestamp")
+        return manifest.where(F.col("source").isNotNull()).select(*VERSION).distinct()
 
     def pending(self, files: DataFrame) -> DataFrame:
-        """Listed files no published batch has consumed."""
-        return files.join(self.consumed(), "source", "left_anti")
+        """Listed files (``source, length, modified``) no published batch has consumed in this version.
+
+        A path recorded without a version is consumed whatever is written there.
+        """
+        known = self.consumed()
+        by_path = known.where("length IS NULL").select("source")
+        return files.join(known, list(VERSION), "left_anti").join(by_path, "source", "left_anti")
 
     def written(self, table: str, batch_id: int) -> DataFrame:
         """What one batch wrote, published or not."""
@@ -148,16 +159,22 @@ class OrderStore:
     ) -> None:
         """Make the tables a batch wrote visible; record its input files and where it came from.
 
+        ``sources`` has ``source`` and, to be told apart by version, ``length`` and ``modified``.
         Fails when the batch is published already: then another writer took the same number.
         """
         if batch_id in self._manifest():
             raise RuntimeError(f"batch {batch_id} was published by another writer")
         if sources is None:
             sources = self.spark.createDataFrame([(None,)], "source string")
+        kinds = {"source": "string", "length": "bigint", "modified": "timestamp"}
+        version = [
+            (F.col(name) if name in sources.columns else F.lit(None)).cast(kind).alias(name)
+            for name, kind in kinds.items()
+        ]
         rows = sources.select(
-            "source",
+            *version,
             F.lit(origin).cast("string").alias("origin"),
-            F.array_sort(F.array(*map(F.lit, tables))).alias("tables"),
+            F.array_sort(F.array(*map(F.lit, tables)).cast("array<string>")).alias("tables"),
             F.current_timestamp().alias("published_at"),
         )
         self.write("manifest", rows, batch_id)
