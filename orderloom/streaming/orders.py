@@ -6,14 +6,12 @@ and name. The batch is published under the micro-batch's number together with th
 files, so a micro-batch that runs again changes nothing, and neither does a new checkpoint over
 files consumed already.
 
-Spark's file source knows files by path alone: it never reads a path twice. ``sweep`` looks after
-files written anew under their name, which the store knows by version.
+Spark's file source knows files by path alone and never reads a path twice. ``sweep`` looks after
+files written anew under their name: the store knows its input by version.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,7 +20,7 @@ from orderloom.functions import domain
 from orderloom.operators.storage import materialize
 from orderloom.plans import loading
 from orderloom.sources import csv, records
-from orderloom.sources.store import VERSION, OrderStore
+from orderloom.sources.store import OrderStore
 
 
 def _import(store: OrderStore, lines: DataFrame, files: DataFrame, origin: str) -> None:
@@ -78,27 +76,18 @@ def stream_orders(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def rewritten(store: OrderStore, files: DataFrame) -> DataFrame:
-    """Pending files whose path was consumed in another version."""
-    known = store.consumed().select("source").distinct()
-    return store.pending(files).join(known, "source", "left_semi")
-
-
-def sweep(spark: SparkSession, inbox: str, store: OrderStore, pattern: str = "*.csv") -> int:
-    """Import files written anew since they were consumed, as one batch; returns how many there were.
+def sweep(spark: SparkSession, store: OrderStore, listed: DataFrame) -> int:
+    """Import the files of a written listing that are still pending, as one batch; returns how many.
 
-    Empty files, of which a stream of lines shows nothing, are recorded as consumed, so that they
-    are found here once something is written to them.
+    For a listing taken before a stream over the same files ran to its end, these are the files it
+    passed over: written anew under a path it had read, or once seen empty.
     """
-    listed = materialize(csv.list_files(spark, inbox, pattern), "listing")
-    empty = store.pending(listed.where("length = 0"))
-    if not empty.isEmpty():
-        store.publish(store.next_batch(), [], materialize(empty, "versions"))
-    files = materialize(rewritten(store, listed.where("length > 0")).select(*VERSION), "versions")
-    paths: Sequence[str] = [csv.as_path(row.source) for row in files.select("source").toLocalIterator()]
+    missed = store.pending(listed).select("source").toLocalIterator()
+    paths = [csv.as_path(row.source) for row in missed]
     if paths:
         lines = records.with_origin(spark.read.option("lineSep", "\n").text(paths))
-        _import(store, lines, files, f"sweep:{inbox}:{store.next_batch()}")
+        versions = lines.select(F.col("file").alias("source"), "length", "modified").distinct()
+        _import(store, lines, materialize(versions, "versions"), f"sweep:{store.next_batch()}")
     return len(paths)
 
 
@@ -111,6 +100,7 @@ def run_inbox(
     pattern: str = "*.csv",
     archive: str | None = None,
 ) -> None:
-    """One pass over the inbox: new files by the stream, then files written anew."""
+    """One pass over the inbox: new files by the stream, then those it passed over."""
+    listed = materialize(csv.list_files(spark, inbox, pattern), "listing")
     stream_orders(spark, inbox, store, checkpoint, files_per_trigger, pattern, archive).awaitTermination()
-    sweep(spark, inbox, store, pattern)
+    sweep(spark, store, listed)
