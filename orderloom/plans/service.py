@@ -85,24 +85,30 @@ def update_statuses(
     requests came from. Returns every request with its outcome and message.
     """
     stored = store.orders()
-    outcomes = materialize(
-        lifecycle.update_statuses(requests, stored, order, statuses).withColumn(
-            "_at", F.current_timestamp() if clock is None else clock
-        ),
-        "updates",
+    outcomes = lifecycle.update_statuses(requests, stored, order, statuses).withColumn(
+        "_at", F.current_timestamp() if clock is None else clock
     )
+    written = publish_updates(store, outcomes, order, origin)
+    return written.drop("_at").withColumn("message", lifecycle.update_message())
+
+
+def publish_updates(
+    store: OrderStore, outcomes: DataFrame, order: Sequence[str], origin: str | None = None
+) -> DataFrame:
+    """Store the changes among outcomes (with the time ``_at``) as one batch; returns the written outcomes."""
+    outcomes = materialize(outcomes, "updates")
     last = (
         outcomes.where(F.col("outcome") == lifecycle.UPDATED)
         .groupBy("order_code")
         .agg(F.max_by("status", F.struct(*order)).alias("status"))
     )
     batch_id = store.next_batch()
-    changed = stored.select("id", "order_code").join(last, "order_code").select("id", "status")
+    changed = store.orders().select("id", "order_code").join(last, "order_code").select("id", "status")
     store.write("updates", changed, batch_id)
     audit = lifecycle.audit_rows(outcomes, order, F.col("_at"), store.last_id("history"))
     store.write("history", audit, batch_id)
     store.publish(batch_id, ["updates", "history"], origin=origin)
-    return outcomes.drop("_at").withColumn("message", lifecycle.update_message())
+    return outcomes
 
 
 def delete_orders(store: OrderStore, requests: DataFrame) -> DataFrame:
