@@ -104,6 +104,31 @@ view AS (
   SELECT o.id, order_code, customer_id, c.name AS customer_name, quantity, status, batch
   FROM stored_orders o JOIN stored_customers c ON c.id = o.customer_id)"""
 
+# The intake in four drops, each validated against the seeds and the drops before it.
+DROPPED = f"""{INTAKE},
+dealt AS (
+  SELECT *, pos % 4 AS dropped, row_number() OVER (PARTITION BY order_code, pos % 4 ORDER BY pos) > 1 AS repeated,
+    {field_reasons()}
+  FROM norm),
+loaded AS (
+  SELECT order_code, min(dropped) AS loaded FROM dealt
+  WHERE NOT repeated AND order_code <> ''
+    AND customer_reason IS NULL AND quantity_reason IS NULL AND status_reason IS NULL GROUP BY 1),
+judged AS (
+  SELECT dealt.*,
+    CASE WHEN order_code = '' THEN 'missing order code'
+         WHEN repeated THEN 'duplicated order code inside CSV file'
+         WHEN order_code IN (SELECT order_code FROM registry) OR dropped > loaded
+           THEN 'order code already exists in database' END AS code_reason
+  FROM dealt LEFT JOIN loaded USING (order_code)),
+validated AS (SELECT *, {_REASONS} AS errors FROM judged),
+spelled AS (
+  SELECT customer_name, -1 AS dropped, pos FROM seeds
+  UNION ALL SELECT customer_name, dropped, pos FROM validated WHERE errors = ''),
+first_named AS (
+  SELECT lower(customer_name) AS normalized_name, arg_min(customer_name, (dropped, pos)) AS name
+  FROM spelled GROUP BY 1)"""
+
 _VIEW = "id, order_code, customer_id, customer_name, quantity, status"
 
 SPELLINGS = f"""{INTAKE},
@@ -304,12 +329,26 @@ SELECT 'repeated', true, false, 0, total, true,
         "SELECT row_number() OVER (ORDER BY pos) AS line, order_code, customer_name, quantity, "
         "status FROM intake",
     ),
+    "csv_multi_line": _with(
+        INTAKE,
+        "SELECT row_number() OVER (ORDER BY pos) AS line, order_code, "
+        "customer_name || chr(10) || '\"' || status || '\", ' || quantity AS customer_name, quantity, "
+        "status FROM intake",
+    ),
     "inbox_pending": _with(
         INTAKE,
         'SELECT trim(upper(status)) AS "drop", count(*) AS "rows" FROM intake '
         "WHERE trim(upper(status)) <> 'PENDING' GROUP BY 1",
     ),
     "stream_intake": _with(
+        DROPPED,
+        """
+SELECT order_code, name AS customer_name, CAST(CAST(quantity AS BIGINT) AS VARCHAR) AS quantity, status, errors
+FROM validated JOIN first_named ON normalized_name = lower(customer_name) WHERE errors = ''
+UNION ALL
+SELECT order_code, customer_name, quantity, status, errors FROM validated WHERE errors <> ''""",
+    ),
+    "stream_drops": _with(
         STORED,
         """
 SELECT order_code, customer_name, CAST(quantity AS VARCHAR) AS quantity, status, '' AS errors
@@ -505,6 +544,12 @@ FROM customer LEFT JOIN last ON last.order_code = CAST(c_custkey AS VARCHAR)""",
         UPDATES, "SELECT order_code, count(*) AS changes FROM history GROUP BY 1"
     ),
     "stream_transitions": _with(
+        UPDATES, "SELECT event_id, order_code, old_status, status AS new_status FROM transitions"
+    ),
+    "stream_replay": _with(
+        REPLAY, "SELECT event_id, order_code, op, status, old_status, outcome FROM replay"
+    ),
+    "stream_status_drops": _with(
         UPDATES, "SELECT id, order_code, old_status, new_status, changed_at FROM history"
     ),
 }

@@ -15,7 +15,9 @@ from orderloom.plans import history, intake, lifecycle, loading, migration, serv
 from orderloom.sources import csv, reports
 from orderloom.sources.store import OrderStore
 from orderloom.streaming.drops import announce
-from orderloom.streaming.inbox import stream_intake as run_inbox
+from orderloom.streaming import tracking
+from orderloom.streaming.inbox import stream_intake as run_drops
+from orderloom.streaming.orders import run_inbox
 from orderloom.streaming.statuses import stream_statuses
 from orderloom.workload import fixtures
 
@@ -325,28 +327,34 @@ def inbox_pending(spark, sf_dir):
         .csv(folder)
     )
     files = csv.list_files(spark, folder)
-    consumed = files.where(F.contains("source", F.lit("drop=PENDING"))).select("source")
+    consumed = files.where(F.contains("source", F.lit("drop=PENDING")))
     store = OrderStore(spark, new_folder(spark, "store"))
-    paths = [row.source for row in consumed.collect()]
+    paths = [csv.as_path(row.source) for row in consumed.collect()]
     result = loading.import_orders(store, csv.load_orders(spark, paths), consumed, confirmed=True)
     if not result.success:
         raise RuntimeError(result.message)
-    pending = [row.source for row in store.pending(files).select("source").collect()]
+    pending = [csv.as_path(row.source) for row in store.pending(files).select("source").collect()]
     drop = F.regexp_extract("_metadata.file_path", "drop=([A-Z]+)", 1)
     rows = spark.read.option("header", True).option("escape", '"').csv(pending)
     return rows.groupBy(drop.alias("drop")).agg(F.count("*").alias("rows"))
 
 
 @query
-def stream_intake(spark, sf_dir):
-    """The intake dropped as CSV in many files, imported by the stream into a seeded store."""
-    inbox, checkpoint = new_folder(spark, "inbox"), new_folder(spark, "checkpoint")
-    rows = fixtures.intake(spark, sf_dir).repartitionByRange(8, "pos").sortWithinPartitions("pos")
-    csv.write_csv(rows.select(*domain.ORDER_FIELDS), inbox)
-    announce(spark, f"{checkpoint}-markers", "intake", inbox)
-    store = _seeded_store(spark, sf_dir)
-    seeded = store.orders().select("order_code")
-    run_inbox(spark, f"{checkpoint}-markers", store, checkpoint, 1).awaitTermination()
+def csv_multi_line(spark, sf_dir):
+    """The intake with line breaks, commas and quotes inside the customer names, written and read back."""
+    folder = new_folder(spark, "feed")
+    name = F.concat("customer_name", F.lit('\n"'), "status", F.lit('", '), "quantity")
+    rows = fixtures.intake(spark, sf_dir).withColumn("customer_name", name).orderBy("pos")
+    csv.write_csv(rows.select(*domain.ORDER_FIELDS), folder)
+    read = csv.load_orders(spark, folder, multi_line=True)
+    return read.select(
+        F.col("pos").alias("line"),
+        *[F.coalesce(c, F.lit("")).alias(c) for c in domain.ORDER_FIELDS],
+    )
+
+
+def _imported(store: OrderStore, seeded: DataFrame) -> DataFrame:
+    """Orders added since the seeds, and rejects, with their errors."""
     loaded = browse.order_view(codes.not_stored(store.orders(), seeded), store.customers())
     accepted = loaded.select(
         "order_code",
@@ -361,6 +369,34 @@ def stream_intake(spark, sf_dir):
     return accepted.unionByName(rejects)
 
 
+@query
+def stream_intake(spark, sf_dir):
+    """The intake as four CSV files, one after another, imported by the stream two at a time."""
+    inbox, checkpoint = new_folder(spark, "inbox"), new_folder(spark, "checkpoint")
+    rows = fixtures.intake(spark, sf_dir).withColumn("customer_name", F.replace("customer_name", F.lit(" "), F.lit("\n")))
+    for number in range(4):
+        part = rows.where(F.col("pos") % 4 == number).select("pos", *domain.ORDER_FIELDS)
+        ordered = part.coalesce(1).sortWithinPartitions("pos").select(*domain.ORDER_FIELDS)
+        csv.write_csv(ordered, f"{inbox}/{9 - number}")
+    store = _seeded_store(spark, sf_dir)
+    seeded = store.orders().select("order_code")
+    run_inbox(spark, inbox, store, checkpoint, 2)
+    return _imported(store, seeded)
+
+
+@query
+def stream_drops(spark, sf_dir):
+    """The intake dropped as CSV in many files, announced as one drop and imported into a seeded store."""
+    inbox, checkpoint = new_folder(spark, "inbox"), new_folder(spark, "checkpoint")
+    rows = fixtures.intake(spark, sf_dir).repartitionByRange(8, "pos").sortWithinPartitions("pos")
+    csv.write_csv(rows.select(*domain.ORDER_FIELDS), inbox)
+    announce(spark, f"{checkpoint}-markers", "intake", inbox)
+    store = _seeded_store(spark, sf_dir)
+    seeded = store.orders().select("order_code")
+    run_drops(spark, f"{checkpoint}-markers", store, checkpoint, 1).awaitTermination()
+    return _imported(store, seeded)
+
+
 @query
 def export_roundtrip(spark, sf_dir):
     store = fixtures.loaded_store(spark, sf_dir)
@@ -771,23 +807,59 @@ def history_counts(spark, sf_dir):
     return history.change_counts(update_history(spark, sf_dir))
 
 
-@query
-def stream_transitions(spark, sf_dir):
-    """The status requests as three drops of eight files with overlapping times, applied by the stream."""
-    markers, checkpoint = new_folder(spark, "markers"), new_folder(spark, "checkpoint")
-    requests = fixtures.status_requests(spark, sf_dir)
+def _by_time(requests: DataFrame) -> list[DataFrame]:
+    """The rows in three stretches of time."""
     bounds = requests.selectExpr(
         "min(ts) + (max(ts) - min(ts)) / 3 AS low",
         "min(ts) + (max(ts) - min(ts)) / 3 * 2 AS high",
     ).first()
-    store = fixtures.tracked_store(spark, sf_dir)
     ts = F.col("ts")
     parts = (ts < bounds.low, (ts >= bounds.low) & (ts < bounds.high), ts >= bounds.high)
-    for number, part in enumerate(parts):
+    return [requests.where(part) for part in parts]
+
+
+def _streamed(spark, rows, stateful) -> DataFrame:
+    """What a stateful stream makes of rows that arrive in three stretches of eight shuffled files."""
+    source, folder, checkpoint = (new_folder(spark, name) for name in ("source", "found", "checkpoint"))
+    for part in _by_time(rows):
+        part.repartition(8).write.mode("append").parquet(source)
+        stream = stateful(spark.readStream.schema(rows.schema).parquet(source))
+        tracking.collect_into(stream, folder, checkpoint).awaitTermination()
+    return spark.read.parquet(folder)
+
+
+@query
+def stream_transitions(spark, sf_dir):
+    """The status requests against keyed state; the query stops and goes on between three stretches of time."""
+    stored = fixtures.tracked_orders(spark, sf_dir)
+
+    def stateful(requests: DataFrame) -> DataFrame:
+        return tracking.stream_transitions(requests, EVENT_ORDER, stored, fixtures.EVENT_STATUSES)
+
+    found = _streamed(spark, fixtures.status_requests(spark, sf_dir), stateful)
+    return found.select("event_id", "order_code", "old_status", "new_status")
+
+
+@query
+def stream_replay(spark, sf_dir):
+    """The command log against keyed state."""
+    found = _streamed(
+        spark, fixtures.commands(spark, sf_dir), lambda log: tracking.stream_commands(log, EVENT_ORDER)
+    )
+    return found.select("event_id", "order_code", "op", "status", "old_status", "outcome")
+
+
+@query
+def stream_status_drops(spark, sf_dir):
+    """The status requests as three drops of eight files with overlapping times, applied by the stream."""
+    markers, checkpoint = new_folder(spark, "markers"), new_folder(spark, "checkpoint")
+    requests = fixtures.status_requests(spark, sf_dir)
+    store = fixtures.tracked_store(spark, sf_dir)
+    for number, part in enumerate(_by_time(requests)):
         folder = new_folder(spark, "requests")
-        requests.where(part).repartition(8).write.parquet(folder)
+        part.repartition(8).write.parquet(folder)
         announce(spark, markers, f"drop-{number}", folder)
     stream_statuses(
-        spark, markers, store, checkpoint, requests.schema, EVENT_ORDER, ts, fixtures.EVENT_STATUSES, 1
+        spark, markers, store, checkpoint, requests.schema, EVENT_ORDER, F.col("ts"), fixtures.EVENT_STATUSES, 1
     ).awaitTermination()
     return store.history()
