@@ -34,7 +34,7 @@ def browse_orders(
 
 
 def search_order(store: OrderStore, code: str) -> DataFrame:
-    return browse.order_view(browse.find_order(store.orders(), code), store.customers())
+    return browse.order_view(store.orders((code or "").strip().upper()), store.customers())
 
 
 def list_customers(store: OrderStore) -> DataFrame:
@@ -46,7 +46,8 @@ def search_customers(store: OrderStore, wanted: str) -> DataFrame:
 
 
 def statistics(store: OrderStore) -> DataFrame:
-    return browse.status_counts(store.orders())
+    """Orders per status and in all, from the counts kept with each batch."""
+    return browse.with_total(store.status_counts())
 
 
 def export_orders(store: OrderStore, path: str) -> int:
@@ -103,7 +104,7 @@ def publish_updates(
         .agg(F.max_by("status", F.struct(*order)).alias("status"))
     )
     batch_id = store.next_batch()
-    changed = store.orders().select("id", "order_code").join(last, "order_code").select("id", "status")
+    changed = store.orders().select("id", "order_code").join(last, "order_code").select("id", "order_code", "status")
     store.write("updates", changed, batch_id)
     audit = lifecycle.audit_rows(outcomes, order, F.col("_at"), store.last_id("history"))
     store.write("history", audit, batch_id)
@@ -117,7 +118,8 @@ def delete_orders(store: OrderStore, requests: DataFrame) -> DataFrame:
     outcomes = materialize(lifecycle.delete_outcomes(requests, stored), "deletes")
     gone = outcomes.where(F.col("outcome") == lifecycle.DELETED).select("order_code")
     batch_id = store.next_batch()
-    store.write("deletions", stored.join(gone, "order_code", "left_semi").select("id"), batch_id)
+    removed = stored.join(gone, "order_code", "left_semi").select("id", "order_code")
+    store.write("deletions", removed, batch_id)
     store.publish(batch_id, ["deletions"])
     return outcomes
 

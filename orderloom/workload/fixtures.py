@@ -180,6 +180,8 @@ def tracked_store(spark: SparkSession, sf_dir: str) -> OrderStore:
         F.lit(1).cast("bigint").alias("quantity"),
         "status",
     )
+    owner = spark.createDataFrame([(1, "Owner", "owner")], "id bigint, name string, normalized_name string")
+    store.write("customers", owner, 0)
     store.write("orders", orders, 0)
-    store.publish(0, ["orders"])
+    store.publish(0, ["customers", "orders"])
     return store

@@ -543,6 +543,24 @@ FROM customer LEFT JOIN last ON last.order_code = CAST(c_custkey AS VARCHAR)""",
     "history_counts": _with(
         UPDATES, "SELECT order_code, count(*) AS changes FROM history GROUP BY 1"
     ),
+    "snapshot_orders": _with(
+        UPDATES,
+        """, last AS (
+  SELECT order_code, arg_max(status, (ts, event_id)) AS status FROM valid GROUP BY 1)
+SELECT c_custkey AS id, CAST(c_custkey AS VARCHAR) AS order_code, coalesce(last.status, 'view') AS status
+FROM customer LEFT JOIN last ON last.order_code = CAST(c_custkey AS VARCHAR) WHERE c_custkey % 7 <> 0""",
+    ),
+    "status_stats_kept": _with(
+        UPDATES,
+        """, last AS (
+  SELECT order_code, arg_max(status, (ts, event_id)) AS status FROM valid GROUP BY 1),
+live AS (
+  SELECT coalesce(last.status, 'view') AS status
+  FROM customer LEFT JOIN last ON last.order_code = CAST(c_custkey AS VARCHAR) WHERE c_custkey % 7 <> 0)
+SELECT status, count(*) AS orders FROM live GROUP BY 1
+UNION ALL SELECT 'total', count(*) FROM live
+UNION ALL SELECT unnest(['completed', 'pending', 'cancelled']), 0""",
+    ),
     "stream_transitions": _with(
         UPDATES, "SELECT event_id, order_code, old_status, status AS new_status FROM transitions"
     ),

@@ -503,6 +503,33 @@ def status_stats(spark, sf_dir):
     return browse.status_counts(fixtures.loaded_store(spark, sf_dir).orders())
 
 
+@query
+def status_stats_kept(spark, sf_dir):
+    """From the counts kept with imports, updates, deletions and snapshots, the orders not read."""
+    return service.statistics(_lived_store(spark, sf_dir))
+
+
+def _lived_store(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """The tracked store after three stretches of updates, with deletions and two snapshots between."""
+    store = fixtures.tracked_store(spark, sf_dir)
+    first, second, third = _by_time(fixtures.status_requests(spark, sf_dir))
+    gone = fixtures.table(spark, sf_dir, "customer").where("c_custkey % 7 = 0")
+    requests = gone.select(F.col("c_custkey").alias("pos"), F.col("c_custkey").cast("string").alias("order_code"))
+    for stretch in (first, second, third):
+        service.update_statuses(store, stretch, EVENT_ORDER, F.col("ts"), fixtures.EVENT_STATUSES)
+        if stretch is second:
+            service.delete_orders(store, requests)
+        if stretch is not third:
+            store.snapshot()
+    return store
+
+
+@query
+def snapshot_orders(spark, sf_dir):
+    """Live orders from the last snapshot and what was written after it."""
+    return _lived_store(spark, sf_dir).orders().select("id", "order_code", "status")
+
+
 @query
 def status_stats_unknown(spark, sf_dir):
     """A status outside the domain is kept, an unused one is zero."""

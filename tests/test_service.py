@@ -126,7 +126,7 @@ def test_queries(store, tmp_path):
 def test_left_over_of_a_failed_batch_is_replaced_whole(store, update, delete, spark):
     """An unpublished batch must not leak files of other tables into the next batch's id."""
     batch = store.next_batch()
-    store.write("deletions", spark.createDataFrame([(1,)], "id bigint"), batch)
+    store.write("deletions", spark.createDataFrame([(1, "ORD1")], "id bigint, order_code string"), batch)
     assert orders(store)[0][0] == 1
     update(("ORD2", "completed"))
     assert [row[0] for row in orders(store)] == [1, 2]
