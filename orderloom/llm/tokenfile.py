@@ -38,6 +38,7 @@ from orderloom.operators.storage import materialize, new_folder
 # Fixed values of the seekable format, and a skippable frame of our own for the index.
 SKIPPABLE_SEEK_TABLE, SEEKABLE_MAGIC, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 SKIPPABLE_INDEX, INDEX_MAGIC = 0x184D2A50, 0x58444E49
+MOST_READERS = 50_000
 FRAME_BYTES = 1 << 18
 END_ID = 0
 
@@ -221,7 +222,9 @@ def read_documents(files: TokenFiles, wanted: DataFrame | None = None) -> DataFr
     rows = files.index.select("doc_id", "file", "number")
     if wanted is not None:
         rows = rows.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    rows = rows.repartition("file").sortWithinPartitions("file", "number")
+    # A number of its own for each file or so: rows this small would otherwise be read by one task or two.
+    tasks = max(1, min(MOST_READERS, files.index.select("file").distinct().count()))
+    rows = rows.repartition(tasks, "file").sortWithinPartitions("file", "number")
     kind = dict(rows.dtypes)["doc_id"]
     schema = f"doc_id {kind}, file string, number bigint, n_read bigint, ids_crc32 bigint, ids binary"
     return rows.mapInArrow(_reading, schema).withColumnRenamed("n_read", "n_tokens")
