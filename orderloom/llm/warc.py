@@ -37,6 +37,7 @@ from orderloom.llm.rows import attach_left
 from orderloom.llm.words import bytewise
 from orderloom.operators.storage import materialize, new_folder
 
+MOST_READERS = 50_000
 CHUNK = 1 << 16
 FILE_BYTES = 128 << 20
 # Fixed values of the format.
@@ -242,7 +243,8 @@ def _arrays(rows: list[tuple]) -> list[pa.Array]:
 def read_chunks(spark: SparkSession, archives: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The chunk table of all ``archives`` (column ``file``): one row per record and chunk number, with
     the chunk's bytes, where it starts in the payload and the digest of the payload up to its end."""
-    spread = archives.select("file").repartition(F.xxhash64("file"))
+    # As many tasks as archives: rows this small would otherwise be read by one task.
+    spread = archives.select("file").repartition(max(1, min(MOST_READERS, archives.count())), F.xxhash64("file"))
     return spread.mapInArrow(_reading(chunk), _CHUNK_TYPES)
 
 

@@ -147,3 +147,17 @@ def test_archives_are_plain_warc(spark, pages):
 
 def test_no_pages(spark, pages):
     assert warc.page_digests(warc.read_chunks(spark, warc.write_archives(pages.limit(0)))).count() == 0
+
+
+def test_files_are_read_back_by_many_tasks(spark, settings):
+    """Lists of files are tiny, but adaptive execution must not read all files in one task."""
+    settings(**{"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"})
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    files = tokenfile.write_token_files(docs, byte_bpe_path())
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
+    archives = warc.write_archives(pages.repartition(16))
+    settings(**{"spark.sql.adaptive.coalescePartitions.enabled": "true"})
+    task = F.spark_partition_id().alias("task")
+    assert files.index.select("file").distinct().count() > 8 and archives.count() > 8
+    assert tokenfile.read_documents(files).select(task).distinct().count() > 4
+    assert warc.read_chunks(spark, archives).select(task).distinct().count() > 4
