@@ -356,6 +356,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     classes, found = links(docs, signed, settings)
     roots = components(found).withColumnRenamed("node", "representative")
     home = classes.join(roots, "representative", "left").select("set_id", F.coalesce("root", "representative").alias("home"))
-    rows = signed.select("doc_id", "n_shingles", "set_id").join(home, "set_id", "left")
+    # A row without an id links with nothing, though its text may be that of others.
+    linked = F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id")
+    rows = signed.select("doc_id", "n_shingles", linked).join(home, "set_id", "left")
     component = F.coalesce("home", "doc_id")
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))

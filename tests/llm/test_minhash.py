@@ -40,7 +40,9 @@ def check(spark, docs, n):
     sizes = sorted((r.doc_id or -1, len(shingles(r.text, n))) for r in rows)
     assert sorted((r.doc_id or -1, r.n_shingles) for r in found) == sizes
     for r in found:
-        if r.doc_id is not None:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
             assert r.component_id == expected[r.doc_id] and r.kept == (r.doc_id == r.component_id)
 
 
