@@ -16,7 +16,7 @@ third of all documents is as spread out as any. What grows with the number of
 sources only (one row each) is ordered in one window.
 
 Defined cases: a null text has no words and nothing of it is taken; a null source
-is a source of its own, after all others; a null id hashes like an empty one;
+is a source of its own, after all others; a null id is replaced by a hash of the text;
 repeated rows are placed one after the other. Without words all targets are 0.
 """
 
@@ -53,7 +53,9 @@ def word_count(text: Column) -> Column:
 
 def _sized(docs: DataFrame, keep: Sequence[str], mix: Mix) -> DataFrame:
     source = F.col("source").cast("string")
-    order = F.md5(F.concat(F.lit(f"{mix.seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    # Rows without an id are told apart by their text, so that many of them do not share one place.
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.col("text").cast("binary"))), F.lit(""))
+    order = F.md5(F.concat(F.lit(f"{mix.seed}:"), name).cast("binary"))
     kept = [F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)]
     return docs.select(
         *kept,
