@@ -89,3 +89,11 @@ def test_repeated_ids_stay_once(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()) == [1, 4]
 
 
+def test_different_texts_under_one_id_stay(spark):
+    """Each text goes only for a link of its own; rows without an id all stay."""
+    a, b, c, d = (" ".join(f"{letter}{i}" for i in range(60)) for letter in "abcd")
+    rows = [(1, a), (2, a + " more"), (2, b), (3, c), (3, d), (-4, c), (5, b), (5, b), (None, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()]
+    expected = [(1, a), (2, b), (3, d), (-4, c), (None, a), (None, a)]
+    assert sorted(kept, key=repr) == sorted(expected, key=repr)
