@@ -8,6 +8,8 @@ they pass through. An empty table stays empty.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,20 +27,40 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return without(keyed, rejected, ("doc_id", KEY)).drop(KEY)
 
 
+NODE = "_near_id"
+
+
+def _with_node(docs: DataFrame) -> DataFrame:
+    """Add an id that tells texts apart: that of the row, or, where an id has several texts, one made
+    of the id and the text's hash that sorts as the ids do. Null without an id."""
+    keyed = with_key(docs)
+    texts = keyed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(KEY).alias("a"), F.max(KEY).alias("b"))
+    if texts.where("a != b").isEmpty():
+        return keyed.withColumn(NODE, F.col("doc_id")).drop(KEY)
+    place = F.col("doc_id").cast("string")
+    if dict(docs.dtypes)["doc_id"] in ("bigint", "int", "smallint", "tinyint"):
+        place = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit(Decimal(1 << 63))).cast("string"), 20, "0")
+    return keyed.withColumn(NODE, F.concat(place, F.lit(":"), F.hex(KEY))).drop(KEY)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by 0.8 of five-word shingles the smallest id stays, once.
 
-    Rows without an id stay, as nothing tells which of them a group should keep.
+    Rows without an id stay, as nothing tells which of them a group should keep. Different texts
+    under one id are different documents: each goes only for links of its own.
     """
-    found = materialize(minhash.near_duplicates(docs, minhash.Settings(words=5)), "near-duplicates")
-    dropped = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    kept = without(docs, materialize(dropped, "dropped"), ["doc_id"])
-    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
-    repeated = materialize(repeated.select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = only(kept, repeated, ["doc_id"]).dropDuplicates(["doc_id"])
-    return without(kept, repeated, ["doc_id"]).unionByName(once)
+    nodes = _with_node(docs)
+    texts = nodes.select(F.col(NODE).alias("doc_id"), "text")
+    found = materialize(minhash.near_duplicates(texts, minhash.Settings(words=5)), "near-duplicates")
+    named = found.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", NODE)
+    dropped = materialize(named.where(~F.col("kept")).select(NODE).distinct(), "dropped")
+    kept = without(nodes, dropped, [NODE])
+    repeated = named.where("kept").groupBy(NODE).count().where("count > 1")
+    repeated = materialize(repeated.select(NODE), "repeated")
+    if not repeated.isEmpty():
+        once = only(kept, repeated, [NODE]).dropDuplicates([NODE])
+        kept = without(kept, repeated, [NODE]).unionByName(once)
+    return kept.drop(NODE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
