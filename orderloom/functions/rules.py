@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from orderloom.functions import domain, text
 
 
+# A rule is a condition, as a column or as SQL over the order's columns, and its reason.
+Rule = tuple[Column | str, str]
+Group = Sequence[Rule]
+
+
 def first_hit(*rules: tuple[Column, str]) -> Column:
     """The reason of the first condition that holds, else null."""
     condition, reason = rules[0]
@@ -57,6 +62,15 @@ def collect_reasons(*groups: Column) -> Column:
     return F.array_compact(F.array(*groups))
 
 
+def group_reasons(groups: Sequence[Group]) -> list[Column]:
+    """One reason or null for each group given as data; a condition that is null does not hold."""
+    compiled = []
+    for group in groups:
+        pairs = [(F.expr(c) if isinstance(c, str) else c, reason) for c, reason in group]
+        compiled.append(first_hit(*pairs))
+    return compiled
+
+
 def field_reasons(statuses: Sequence[str] = domain.STATUSES) -> tuple[Column, Column, Column]:
     """The three groups that look at one row only."""
     return (

@@ -27,11 +27,18 @@ def normalize_orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def _with_errors(flagged: DataFrame, statuses: Sequence[str], registry_first: bool = False):
+def _with_errors(
+    flagged: DataFrame,
+    statuses: Sequence[str],
+    registry_first: bool = False,
+    more: Sequence[rules.Group] = (),
+) -> DataFrame:
     code = rules.code_rule(
         F.col("order_code"), F.col("repeated"), F.col("stored"), registry_first
     )
-    errors = rules.collect_reasons(code, *rules.field_reasons(statuses))
+    errors = rules.collect_reasons(
+        code, *rules.field_reasons(statuses), *rules.group_reasons(more)
+    )
     return flagged.withColumn("errors", errors).drop("repeated", "stored")
 
 
@@ -39,13 +46,17 @@ def validate(
     raw: DataFrame,
     registry: DataFrame | None = None,
     statuses: Sequence[str] = domain.STATUSES,
+    more: Sequence[rules.Group] = (),
 ) -> DataFrame:
     """Normalized orders with an ``errors`` array.
 
     ``raw`` carries a unique, ordered ``pos``; ``registry`` the stored
-    ``order_code`` values.
+    ``order_code`` values. ``more`` are rule groups of one's own, after the four
+    built in: lists of (condition, reason), the first condition that holds counts.
+    They see the normalized fields, ``repeated``, ``stored`` and all other columns.
     """
-    return _with_errors(codes.flag_codes(normalize_orders(raw), registry), statuses)
+    flagged = codes.flag_codes(normalize_orders(raw), registry)
+    return _with_errors(flagged, statuses, more=more)
 
 
 def validate_creations(
@@ -146,31 +157,17 @@ def preview_counts(validated: DataFrame) -> DataFrame:
 
 
 def reason_summary(validated: DataFrame) -> DataFrame:
-    """How often each reason fired, in order of first appearance (``first_pos``)."""
-    counted = (
-        validated.select("pos", F.explode("errors").alias("reason"))
-        .groupBy("reason")
-        .agg(F.count("*").alias("count"), F.min("pos").alias("first_pos"))
-    )
-    # Reasons that first appear in the same row follow the order of the rule groups.
-    groups = F.array(
-        *[
-            F.lit(reason)
-            for reason in (
-                domain.MISSING_CODE,
-                domain.REPEATED_CODE,
-                domain.STORED_CODE,
-                domain.MISSING_CUSTOMER,
-                domain.SHORT_CUSTOMER,
-                domain.MISSING_QUANTITY,
-                domain.QUANTITY_NOT_A_NUMBER,
-                domain.QUANTITY_OUT_OF_RANGE,
-                domain.QUANTITY_NOT_POSITIVE,
-                domain.INVALID_STATUS,
-            )
-        ]
-    )
-    return counted.orderBy("first_pos", F.array_position(groups, F.col("reason")))
+    """How often each reason fired, in order of first appearance (``first_pos``).
+
+    Reasons that first appear in the same row follow the order of the rule groups.
+    """
+    fired = validated.select("pos", F.posexplode("errors").alias("place", "reason"))
+    counted = fired.groupBy("reason").agg(
+        F.count("*").alias("count"),
+        F.min("pos").alias("first_pos"),
+        F.min_by("place", "pos").alias("place"),
+    )
+    return counted.orderBy("first_pos", "place").drop("place")
 
 
 def report_entries(validated: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,6 +136,23 @@ def preview(store: OrderStore, raw: DataFrame, by_drop: bool = False) -> Preview
     return Preview(validated, *counts, seen, by_drop)
 
 
+def refresh(store: OrderStore, shown: Preview) -> Preview:
+    """The preview as it would be now. Only orders whose code was loaded or deleted since it was
+    made are checked again, against what the batches since then say of their codes."""
+    changes = materialize(store.code_changes(max(shown.seen, default=-1)), "changes")
+    seen = tuple(store.published())
+    if changes.isEmpty():
+        return replace(shown, seen=seen)
+    changed = changes.select("order_code")
+    touched = shown.validated.join(changed, "order_code", "left_semi").drop("errors")
+    validate = intake.validate_drops if shown.by_drop else intake.validate
+    again = validate(touched, changes.where("stored"))
+    same = shown.validated.join(changed, "order_code", "left_anti")
+    validated = materialize(same.unionByName(again), "validated")
+    counts = intake.preview_counts(validated).first()
+    return Preview(validated, *counts, seen, shown.by_drop)
+
+
 def load_batch(store: OrderStore, accepted: DataFrame, batch_id: int) -> None:
     """Write accepted rows and their new customers under a batch id, unpublished."""
     dimension = store.customers()
@@ -154,8 +171,8 @@ def import_orders(
 ) -> ImportResult:
     """Validate a feed against the store and, once confirmed, load it as one batch.
 
-    A preview of the feed is taken as it is, and validated again only if the
-    store has changed since. ``report`` is where the reject report is written.
+    A preview of the feed is taken as it is; if the store has changed since, the
+    orders that the change touches are validated again. ``report`` is where the reject report is written.
 
     Orders, customers and rejects are written first, and the manifest rows that
     publish them come last. A failure before that leaves the published store
@@ -164,7 +181,7 @@ def import_orders(
     try:
         shown = raw if isinstance(raw, Preview) else preview(store, raw)
         if shown.seen != tuple(store.published()):
-            shown = preview(store, shown.validated.drop("errors", "customer_key"), shown.by_drop)
+            shown = refresh(store, shown)
         skipped = shown.orders_to_skip
         if not confirmed:
             return ImportResult(

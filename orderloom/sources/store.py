@@ -161,6 +161,18 @@ class OrderStore:
         parts = self._table("status_counts", manifest, self._snapshot_batch(manifest) - 1)
         return parts.groupBy("status").agg(F.sum("orders").alias("orders")).where("orders != 0")
 
+    def code_changes(self, after: int) -> DataFrame:
+        """Codes of orders that batches after a number loaded or deleted, and whether they are ``stored`` now."""
+        parts = [
+            rows.select("order_code", "batch_id", F.lit(table == "orders").alias("stored"))
+            for table in ("orders", "deletions")
+            if (rows := self._read(table, after=after)) is not None
+        ]
+        if not parts:
+            return self.spark.createDataFrame([], "order_code string, stored boolean")
+        changes = reduce(DataFrame.unionByName, parts)
+        return changes.groupBy("order_code").agg(F.max_by("stored", "batch_id").alias("stored"))
+
     def history(self) -> DataFrame:
         """Status changes of all orders, also of deleted ones."""
         return self._table("history")

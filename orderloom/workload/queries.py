@@ -506,10 +506,10 @@ def status_stats(spark, sf_dir):
 @query
 def status_stats_kept(spark, sf_dir):
     """From the counts kept with imports, updates, deletions and snapshots, the orders not read."""
-    return service.statistics(_lived_store(spark, sf_dir))
+    return service.statistics(_tracked_life(spark, sf_dir))
 
 
-def _lived_store(spark: SparkSession, sf_dir: str) -> OrderStore:
+def _tracked_life(spark: SparkSession, sf_dir: str) -> OrderStore:
     """The tracked store after three stretches of updates, with deletions and two snapshots between."""
     store = fixtures.tracked_store(spark, sf_dir)
     first, second, third = _by_time(fixtures.status_requests(spark, sf_dir))
@@ -527,7 +527,7 @@ def _lived_store(spark: SparkSession, sf_dir: str) -> OrderStore:
 @query
 def snapshot_orders(spark, sf_dir):
     """Live orders from the last snapshot and what was written after it."""
-    return _lived_store(spark, sf_dir).orders().select("id", "order_code", "status")
+    return _tracked_life(spark, sf_dir).orders().select("id", "order_code", "status")
 
 
 @query

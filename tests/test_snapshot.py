@@ -125,3 +125,34 @@ def test_customers_of_the_same_batch_count(spark, store):
     store.write("orders", spark.createDataFrame(rows, "id bigint, order_code string, customer_id bigint, quantity bigint, status string"), batch)
     store.publish(batch, ["customers", "orders"])
     assert counted(store)["total"] == 13
+
+
+@pytest.mark.parametrize("by_drop", [False, True])
+def test_a_stale_preview_equals_a_new_one(spark, store, feed, by_drop):
+    """Codes loaded, deleted, and deleted and loaded again since; the others are not looked at again."""
+    rows = [("NEW", "Anna Verdi", "1", "pending"), ("ord1", "Anna Verdi", "1", "pending"), ("ORD2", "Anna Verdi", "1", "pending"),
+            ("ORD1", "Anna Verdi", "2", "pending"), ("LATE", "Anna Verdi", "1", "pending"), ("", "Nobody", "1", "pending"),
+            ("NEW", "Berta Blu", "1", "pending"), ("ORD3", "", "1", "lost")]
+    raw = feed(*rows).withColumn("drop", (F.col("pos") / 3).cast("int"))
+    shown = loading.preview(store, raw, by_drop)
+    before = max(store.published())
+    delete(spark, store, "ORD1", "ORD2", "ORD3")
+    loading.import_orders(store, feed(("LATE", "Zoe Blu", "1", "pending"), ("ORD2", "Zoe Blu", "1", "pending")), confirmed=True)
+    update(spark, store, ("ORD5", "cancelled"))
+    fresh, old = loading.preview(store, raw, by_drop), loading.refresh(store, shown)
+    columns = ["pos", "order_code", "customer_name", "quantity", "status", "errors", "customer_key"]
+    assert old.validated.select(columns).orderBy("pos").collect() == fresh.validated.select(columns).orderBy("pos").collect()
+    assert (old.valid_orders, old.invalid_orders, old.seen) == (fresh.valid_orders, fresh.invalid_orders, fresh.seen)
+    accepted = [sorted(r.order_code for r in p.orders_to_import.collect()) for p in (shown, old)]
+    assert accepted == [["LATE", "NEW"], ["NEW", "ORD1"]]
+    read = {int(f.split("batch_id=")[1].split("/")[0]) for f in store.code_changes(before).inputFiles()}
+    assert min(read) > before
+    assert loading.import_orders(store, shown, confirmed=True).saved == fresh.valid_orders
+    assert counted(store)["total"] == len(state(store))
+
+
+def test_nothing_changed_since(spark, store, feed):
+    shown = loading.preview(store, feed(("NEW", "Anna Verdi", "1", "pending")))
+    update(spark, store, ("ORD5", "cancelled"))
+    again = loading.refresh(store, shown)
+    assert again.validated is shown.validated and again.seen == tuple(store.published())
