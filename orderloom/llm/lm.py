@@ -11,10 +11,12 @@ tokens, which the exact counts use to correct most chance hits.
 
 The filter consists of segments of a fixed size, as many as the training tokens
 ask for. Every pair lies in one segment, so segments are built by one grouped
-task each and no task holds the whole filter. Segments and token counts are
-broadcast in shards of at most ``shard_bytes``: the driver and each worker hold
-one shard, texts are probed once per shard, and counts found so far travel with
-the texts. One shard suffices until the corpus has some hundred million tokens.
+task each and no task holds the whole filter. Segments and token counts go to
+all workers in shards of at most ``shard_bytes``, as flat files that Spark copies
+to each node once and workers map into memory: neither the driver nor a worker
+holds a shard, and the workers of a node share its pages. Texts are probed once
+per shard, and counts found so far travel with the texts. One shard suffices
+until the corpus has some hundred million tokens.
 
 Defined cases: a null or empty text is scored as its end alone; a null id counts
 as the empty string; without training texts every count is 0.
@@ -23,16 +25,19 @@ as the empty string; without training texts every count is 0.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.files import Sink
 from orderloom.llm.words import bytewise, combine, mix, split_words
-from orderloom.operators.storage import materialize
+from orderloom.operators.storage import materialize, new_folder
 
 END, BEGIN = np.uint64(0x5E9D3C1F7A2B8841), np.uint64(0xB1A6F00D2C4E9377)
 SEGMENT_BITS = 1 << 19
@@ -169,6 +174,14 @@ class Shard:
     first: int
     bits: np.ndarray  # a line per segment from ``first`` on
 
+    @staticmethod
+    def mapped(path: str) -> Shard:
+        """A local copy of a shard's file, mapped into memory."""
+        data = np.memmap(path, np.uint8, "r")
+        n, first, lines = data[:24].view(np.int64).tolist()
+        tokens, counts = data[24 : 24 + 8 * n].view(np.uint64), data[24 + 8 * n : 24 + 16 * n].view(np.int64)
+        return Shard(tokens, counts, first, data[24 + 16 * n :].reshape(lines, SEGMENT_BITS // 8))
+
     def token_counts(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.tokens):
             return np.zeros(len(tokens), np.int64)
@@ -206,21 +219,29 @@ class Model:
     shards: int
     prior: float
 
-    def shard(self, k: int) -> Shard:
-        """One shard, at most ``shard_bytes`` by the choice of their number, for the driver to broadcast."""
+    def write_shard(self, k: int) -> str:
+        """One shard as a flat file in the shared folder, a piece at a time; returns its path."""
+        spark = self.counts.sparkSession
         own = self.counts.where(F.pmod("token", F.lit(self.shards)) == k).toArrow()
         tokens = own.column("token").to_numpy().view(np.uint64)
         order = np.argsort(tokens)
-        counts = own.column("n").to_numpy()[order]
         each = -(-self.segments // self.shards)
         first = k * each
-        bits = np.zeros((max(0, min(each, self.segments - first)), SEGMENT_BITS // 8), np.uint8)
-        for low in range(first, first + len(bits), FETCHED):  # few at once, as they are held twice
-            near = self.filter.where(F.col("segment").between(low, min(low + FETCHED, first + len(bits)) - 1))
+        lines = max(0, min(each, self.segments - first))
+        sink = Sink(f"{new_folder(spark, 'shard')}/shard-{uuid.uuid4().hex}")
+        sink.write(np.array([len(order), first, lines], np.int64).tobytes())
+        sink.write(tokens[order].tobytes())
+        sink.write(own.column("n").to_numpy()[order].astype(np.int64).tobytes())
+        for low in range(first, first + lines, FETCHED):
+            some = min(FETCHED, first + lines - low)
+            bits = np.zeros((some, SEGMENT_BITS // 8), np.uint8)
+            near = self.filter.where(F.col("segment").between(low, low + some - 1))
             for batch in near.toArrow().to_batches():
                 for segment, line in zip(batch.column("segment").to_pylist(), batch.column("bits")):
-                    bits[segment - first] = np.frombuffer(line.as_buffer(), np.uint8)
-        return Shard(tokens[order], counts, first, bits)
+                    bits[segment - low] = np.frombuffer(line.as_buffer(), np.uint8)
+            sink.write(bits.tobytes())
+        sink.close()
+        return sink.path
 
 
 def train(texts: DataFrame, prior: float = 100.0, shard_bytes: int = SHARD_BYTES) -> Model:
@@ -240,7 +261,7 @@ _FOUND = {"_c": np.int64, "_before": np.int64, "_level": np.uint8}
 SCORES = "n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _scoring(model: Model, shared, first: bool, last: bool):
+def _scoring(model: Model, file: str, first: bool, last: bool):
     segments, texts, prior = model.segments, model.train_texts, model.prior
     whole = model.train_tokens + model.distinct + 1
 
@@ -258,7 +279,7 @@ def _scoring(model: Model, shared, first: bool, last: bool):
         ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = shared.value
+        shard = Shard.mapped(SparkFiles.get(file))
         for batch in bytewise(batches, "_text", TEXT_BYTES):
             tokens, before, rows = tokens_of(batch.column("_text"))
             if first:
@@ -293,8 +314,10 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     own = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
     for k in range(model.shards):
         last = k == model.shards - 1
+        path = model.write_shard(k)
+        context.addFile(path)
         schema = own + (SCORES if last else "_text string, " + ", ".join(f"{n} binary" for n in _FOUND))
-        out = out.mapInArrow(_scoring(model, context.broadcast(model.shard(k)), k == 0, last), schema)
+        out = out.mapInArrow(_scoring(model, path.rsplit("/", 1)[1], k == 0, last), schema)
         if not last:
             out = materialize(out, f"probed-{k}")
     return out
