@@ -1,6 +1,7 @@
 """Per-key sequences: "the last value before this row" and "the position of this row".
 
-Rows are range-partitioned by (key, order) and written once; each partition is
+As long as no key has more rows than one task should take, plain windows do. Else
+rows are range-partitioned by (key, order) and written once; each partition is
 a chunk. Windows run per (key, chunk), so a key with any share of the rows is
 spread over as many tasks as its rows need, and only a key that goes on from
 one chunk to the next needs what came before. Those keys are among the first
@@ -18,11 +19,22 @@ from pyspark.sql import functions as F
 from orderloom.operators.storage import materialize
 
 
+# Rows of one key that a task may take.
+TASK_ROWS = 1_000_000
+
+
 class Timeline:
-    """Rows of a table in a unique order per key, open for sequence columns."""
+    """Rows of a table in a unique order per key, open for sequence columns.
+
+    ``sized`` may be a table that is cheaper to read and has as many rows of each key.
+    """
 
-    def __init__(self, df: DataFrame, key: str, order: Sequence[str]):
+    def __init__(self, df: DataFrame, key: str, order: Sequence[str], sized: DataFrame | None = None):
         self.key, self.order = key, list(order)
+        counts = (df if sized is None else sized).groupBy(key).agg(F.count("*").alias("rows"))
+        if (counts.agg(F.max("rows")).first()[0] or 0) <= TASK_ROWS:
+            self._rows, self._edges = df.withColumn("_chunk", F.lit(0)), None
+            return
         ranged = df.repartitionByRange(key, *self.order)
         # Range bounds come from a sample: what follows must see one choice of them.
         self._rows = materialize(ranged.withColumn("_chunk", F.spark_partition_id()), "chunks")
@@ -62,6 +74,8 @@ class Timeline:
         """Add the last non-null ``value`` among earlier rows of the same key."""
         earlier = self._window().rowsBetween(Window.unboundedPreceding, -1)
         rows = self._rows.withColumn(name, F.last(value, ignorenulls=True).over(earlier))
+        if self._edges is None:
+            return self._with(rows)
         moment = F.when(value.isNotNull(), F.struct(*self.order))
         carry = self._carried(F.max_by(value, moment), F.last("_end", ignorenulls=True))
         rows = self._attach(rows, carry).withColumn(name, F.coalesce(name, "_carry"))
@@ -70,6 +84,8 @@ class Timeline:
     def position(self, name: str) -> Timeline:
         """Add the 1-based position of the row among the rows of its key."""
         rows = self._rows.withColumn(name, F.row_number().over(self._window()).cast("bigint"))
+        if self._edges is None:
+            return self._with(rows)
         carry = self._carried(F.count("*"), F.sum("_end"))
         offset = F.coalesce("_carry", F.lit(0))
         rows = self._attach(rows, carry).withColumn(name, F.col(name) + offset)

@@ -52,7 +52,7 @@ def update_statuses(
     status = F.col("status")
     valid = status.isin(*statuses)
     asked = normalize_requests(requests)
-    timed = Timeline(_with_stored(asked, stored), "order_code", order).last_before(
+    timed = Timeline(_with_stored(asked, stored), "order_code", order, asked).last_before(
         F.when(valid, status), "_previous"
     )
     old = F.coalesce("_previous", "_stored")
@@ -150,7 +150,7 @@ def replay(
     """
     op, status = F.col("op"), F.col("status")
     valid = status.isin(*statuses)
-    log = normalize_requests(commands)
+    log = asked = normalize_requests(commands)
     if stored is None:
         log = log.withColumn("_stored", F.lit(None).cast("string"))
     else:
@@ -158,7 +158,7 @@ def replay(
     exists_after = F.when((op == "create") & valid, True).when(op == "delete", False)
     log = log.withColumn("_exists_after", exists_after)
     alive = (
-        Timeline(log, "order_code", order)
+        Timeline(log, "order_code", order, asked)
         .last_before(F.col("_exists_after"), "_exists_before")
         .derive({"_alive": F.coalesce("_exists_before", F.col("_stored").isNotNull())})
     )

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators import checks, codes, customers, ids
+from orderloom.operators import timeline as timeline_module
 from orderloom.operators.timeline import Timeline
 from orderloom.plans import history, lifecycle
 
@@ -20,8 +21,9 @@ def uneven(spark):
     return spark.createDataFrame(rows, "pos bigint, order_code string").repartition(7)
 
 
-def test_a_hot_key_is_spread_over_chunks(spark, settings):
+def test_a_hot_key_is_spread_over_chunks(spark, settings, monkeypatch):
     """One key holds nine rows in ten; positions and earlier values are those of one sequence."""
+    monkeypatch.setattr(timeline_module, "TASK_ROWS", 1000)
     settings(**{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     rows = [(i, "hot" if i % 10 else f"k{i}", i if i % 4 == 0 else None) for i in range(4000)]
     frame = spark.createDataFrame(rows, "seq bigint, code string, v bigint").repartition(5)
@@ -87,8 +89,9 @@ def test_dense_ids_of_nothing(uneven):
     assert ids.dense_ids(uneven.limit(0), ["pos"]).collect() == []
 
 
-@pytest.mark.parametrize("partitions", ["1", "7", "64"])
-def test_timeline_equals_a_loop(uneven, settings, partitions):
+@pytest.mark.parametrize("partitions, most", [("1", 100), ("7", 100), ("64", 100), ("7", 1000)])
+def test_timeline_equals_a_loop(uneven, settings, monkeypatch, partitions, most):
+    monkeypatch.setattr(timeline_module, "TASK_ROWS", most)
     settings(
         **{
             "spark.sql.shuffle.partitions": partitions,
@@ -96,7 +99,9 @@ def test_timeline_equals_a_loop(uneven, settings, partitions):
         }
     )
     value = F.when(F.col("pos") % 4 == 0, F.col("pos"))
-    rows = Timeline(uneven, "order_code", ["pos"]).last_before(value, "last").position("nth").rows()
+    timeline = Timeline(uneven, "order_code", ["pos"])
+    assert (timeline._edges is None) == (most == 1000)
+    rows = timeline.last_before(value, "last").position("nth").rows()
     last, count = {}, {}
     for row in sorted(rows.collect(), key=lambda row: row.pos):
         assert row.last == last.get(row.order_code)
