@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,20 +60,20 @@ class Block:
     vocabulary: np.ndarray  # sorted word hashes; the word's number is its place + 1
     words: np.ndarray  # numbers, -1 beyond the end, one line per window
     lengths: np.ndarray
-    items: list[list[str]]
+    items: pa.ListArray  # of strings, a list per window
     key: np.ndarray | None = None  # sorted rarest shingle of each window
     at: np.ndarray | None = None  # the window it belongs to
     offset: np.ndarray | None = None  # and where in the window it stands
 
     @classmethod
-    def of(cls, windows: Sequence) -> Block:
-        flat = [w for row in windows for w in row["words"]]
-        hashes = split_words(pa.array([" ".join(flat)], pa.large_string()), alnum=True).hashes
+    def of(cls, windows: pa.Table) -> Block:
+        listed, items = (windows.column(name).combine_chunks() for name in ("words", "items"))
+        hashes = split_words(listed.flatten().cast(pa.large_string()), alnum=True).hashes
         vocabulary, number = np.unique(hashes, return_inverse=True)
-        lengths = np.array([len(row["words"]) for row in windows], np.int64)
-        words = np.full((len(windows), int(lengths.max(initial=1))), -1, np.int64)
+        lengths = pc.list_value_length(listed).to_numpy(zero_copy_only=False).astype(np.int64)
+        words = np.full((len(lengths), int(lengths.max(initial=1))), -1, np.int64)
         words[np.arange(words.shape[1]) < lengths[:, None]] = number + 1
-        return cls(vocabulary, words, lengths, [list(row["items"]) for row in windows])
+        return cls(vocabulary, words, lengths, items)
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.vocabulary):
@@ -95,11 +96,11 @@ class Block:
         pairs[single, 0] = -self.words[single, 0]  # one-word windows have the word, as a negative number
         return pairs, pairs != 0
 
-    def index(self, frequency: dict[int, int]) -> None:
-        """Choose each window's rarest shingle, of equal ones the smallest, then the first."""
+    def index(self, known: np.ndarray, often: np.ndarray) -> None:
+        """Choose each window's rarest shingle, of equal ones the smallest, then the first.
+
+        ``often`` is how often the shingles ``known`` (sorted) stand in the documents."""
         pairs, real = self.shingles()
-        known = np.array(sorted(frequency), np.int64)
-        often = np.array([frequency[k] for k in known], np.int64)
         count = np.zeros(pairs.shape, np.int64)
         if len(known):
             place = np.minimum(np.searchsorted(known, pairs), len(known) - 1)
@@ -141,16 +142,19 @@ def _counting(shared):
     return run
 
 
-def _shingle_counts(spark: SparkSession, texts: DataFrame, block: Block) -> dict[int, int]:
-    """How often each shingle of the block stands in all documents; at most one entry per shingle."""
+def _shingle_counts(spark: SparkSession, texts: DataFrame, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of the block that stand in documents, sorted, and how often; two numbers a shingle."""
     pairs, real = block.shingles()
     wanted = np.unique(pairs[real])
     if not len(wanted):
-        return {}
+        return wanted, wanted
     shared = spark.sparkContext.broadcast((block, wanted))
     counted = texts.mapInArrow(_counting(shared), "shingle bigint, n bigint")
-    rows = counted.groupBy("shingle").agg(F.sum("n").alias("n")).collect()
-    return {row["shingle"]: row["n"] for row in rows}
+    found = counted.groupBy("shingle").agg(F.sum("n").alias("n")).toArrow()
+    shared.destroy()
+    known, often = found.column("shingle").to_numpy(), found.column("n").to_numpy()
+    order = np.argsort(known)
+    return known[order], often[order]
 
 
 def _expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -203,7 +207,7 @@ def _finding(shared, keep_text: bool):
                     np.add.at(change, begin, 1)
                     np.add.at(change, begin + block.lengths[window], -1)
                     for row, w in set(zip(row_of[begin].tolist(), window.tolist())):
-                        items[row].update(block.items[w])
+                        items[row].update(block.items[w].as_py())
             hit = np.flatnonzero(np.cumsum(change[:-1]) > 0)
             own = np.searchsorted(hit, rows)
             spans = [_spans(hit[a:b] - first) for a, b, first in zip(own, own[1:], rows)]
@@ -236,17 +240,17 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"first": int(a), "last": int(b)} for a, b in zip(firsts, lasts)]
 
 
-def _blocks(windows: DataFrame, block_windows: int) -> Iterator[list]:
-    """The windows in lists of at most ``block_windows``, so the driver holds one list at a time."""
+def _blocks(windows: DataFrame, block_windows: int) -> Iterator[pa.Table]:
+    """The windows in tables of at most ``block_windows`` rows, so the driver holds one at a time."""
     total = windows.count()
     n = max(1, -(-total // block_windows))
     if n == 1:
-        yield windows.collect()
+        yield windows.toArrow()
         return
     for k in range(2 * n):  # half-full on average, so that none exceeds the bound by chance
-        part = windows.where(F.pmod(F.xxhash64("words"), F.lit(2 * n)) == k).collect()
+        part = windows.where(F.pmod(F.xxhash64("words"), F.lit(2 * n)) == k).toArrow()
         for a in range(0, len(part), block_windows):
-            yield part[a : a + block_windows]
+            yield part.slice(a, block_windows)
 
 
 def find_items(
@@ -264,7 +268,7 @@ def find_items(
     while rows is not None:
         following = next(blocks, None)
         block = Block.of(rows)
-        block.index(_shingle_counts(spark, found.select("_text"), block))
+        block.index(*_shingle_counts(spark, found.select("_text"), block))
         finding = _finding(spark.sparkContext.broadcast(block), keep_text=following is not None)
         if following is None:
             return found.mapInArrow(finding, own.removesuffix(_TEXT_TYPE) + _FOUND_TYPES)
