@@ -34,8 +34,8 @@ from orderloom.llm.words import bytewise, combine, split_words
 from orderloom.operators.storage import materialize
 
 WINDOW = 10
-# About 200 bytes each in a task: at most some 100 MB of benchmark at a time.
-BLOCK_WINDOWS = 500_000
+# Some 130 bytes each in a task, and 1,200 on the driver while it ranks their shingles.
+BLOCK_WINDOWS = 250_000
 # Words are letters and digits, and everything beyond ASCII; A-Z is lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
