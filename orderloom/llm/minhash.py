@@ -173,7 +173,7 @@ def _pruning(settings: Settings):
 def _verifying(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in bytewise(bytewise([whole], "text_a"), "text_b"):
+            for batch in bytewise(list(bytewise([whole], "text_a")), "text_b"):
                 left = _shingles(split_words(batch.column("text_a")), settings.words)
                 right = _shingles(split_words(batch.column("text_b")), settings.words)
                 linked = [i for i, (x, y) in enumerate(zip(left, right)) if _similar(x, y, settings.percent)]

@@ -8,7 +8,8 @@ equal words have equal hashes, different words collide with odds of about 2**-64
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -150,8 +151,22 @@ def word_hash(word: str | bytes) -> int:
     return int(split_words(pa.array([raw.decode()]), fold=False).hashes[0])
 
 
+def rest() -> None:
+    """Give free memory back: a worker lives on after its task, and its share is the executor's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
 def bytewise(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one hold about ``most`` bytes, or one longer text."""
+    yield from _cut(batches, column, most)
+    if not isinstance(batches, list):  # a task's input has come to its end
+        rest()
+
+
+def _cut(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         if not len(sizes):
