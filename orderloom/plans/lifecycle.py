@@ -105,20 +105,26 @@ def transitions(outcomes: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
-def audit_rows(
-    outcomes: DataFrame, order: Sequence[str], clock: Column, after: int = 0
-) -> DataFrame:
-    """History rows with ids in arrival order; ``clock`` is when each change happened.
+def moment(clock: Column) -> Column:
+    """A time as text to the second, read off without any time zone arithmetic."""
+    return F.substring(clock.cast("string"), 1, 19)
 
-    It is kept as text to the second, read off without any time zone arithmetic.
-    """
-    moment = F.substring(clock.cast("string"), 1, 19)
-    changes = transitions(outcomes.withColumn("changed_at", moment), [*order, "changed_at"])
+
+def history_rows(changes: DataFrame, order: Sequence[str], after: int = 0, more: Sequence[str] = ()) -> DataFrame:
+    """Real status changes with their ``changed_at`` as history rows, ids in arrival order; ``more`` columns follow."""
     return dense_ids(changes, order, "id", after).select(
-        "id", "order_code", "old_status", "new_status", "changed_at"
+        "id", "order_code", "old_status", "new_status", "changed_at", *more
     )
 
 
+def audit_rows(
+    outcomes: DataFrame, order: Sequence[str], clock: Column, after: int = 0
+) -> DataFrame:
+    """The real status changes among the outcomes as history rows; ``clock`` is when each happened."""
+    changes = transitions(outcomes.withColumn("changed_at", moment(clock)), [*order, "changed_at"])
+    return history_rows(changes, order, after)
+
+
 def delete_outcomes(requests: DataFrame, orders: DataFrame) -> DataFrame:
     """Each delete request with its outcome; a second request for a code finds nothing."""
     wanted = requests.withColumn("order_code", text.order_code(F.col("order_code")))

@@ -562,7 +562,9 @@ UNION ALL SELECT 'total', count(*) FROM live
 UNION ALL SELECT unnest(['completed', 'pending', 'cancelled']), 0""",
     ),
     "stream_transitions": _with(
-        UPDATES, "SELECT event_id, order_code, old_status, status AS new_status FROM transitions"
+        UPDATES,
+        "SELECT row_number() OVER (ORDER BY ts, event_id) AS id, order_code, old_status, status AS new_status, "
+        "strftime(ts, '%Y-%m-%d %H:%M:%S') AS changed_at, event_id FROM transitions",
     ),
     "stream_replay": _with(
         REPLAY, "SELECT event_id, order_code, op, status, old_status, outcome FROM replay"

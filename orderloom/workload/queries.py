@@ -857,14 +857,17 @@ def _streamed(spark, rows, stateful) -> DataFrame:
 
 @query
 def stream_transitions(spark, sf_dir):
-    """The status requests against keyed state; the query stops and goes on between three stretches of time."""
+    """The history that the status requests make against keyed state, in three stretches of time.
+
+    The query stops after each and goes on from its checkpoint."""
     stored = fixtures.tracked_orders(spark, sf_dir)
 
     def stateful(requests: DataFrame) -> DataFrame:
         return tracking.stream_transitions(requests, EVENT_ORDER, stored, fixtures.EVENT_STATUSES)
 
     found = _streamed(spark, fixtures.status_requests(spark, sf_dir), stateful)
-    return found.select("event_id", "order_code", "old_status", "new_status")
+    changes = found.withColumn("changed_at", lifecycle.moment(F.col("ts")))
+    return lifecycle.history_rows(changes, EVENT_ORDER, more=["event_id"])
 
 
 @query

@@ -13,6 +13,7 @@ from orderloom.operators import browse
 from orderloom.plans import lifecycle, loading, service
 from orderloom.sources.store import OrderStore
 from orderloom.streaming import tracking
+from orderloom.workload.queries import QUERIES
 
 SCHEMA = "seq bigint, tie bigint, order_code string, op string, status string"
 ORDER = ["seq", "tie"]
@@ -131,3 +132,17 @@ def test_the_store_follows_the_stream(spark, tmp_path, feed, monkeypatch):
     assert histories[0] == histories[1] and len(histories[0]) > 20
     views = [browse.by_id(s.orders()).collect() for s in stores]
     assert views[0] == views[1]
+
+
+def test_the_query_numbers_and_dates_its_transitions(spark, tmp_path):
+    events = [(0, 5, "click"), (1, 5, "click"), (2, 7, "error"), (3, 5, "view"), (4, 9, "purchase"), (5, 7, "view")]
+    rows = [(i, f"2024-01-0{i + 1} 10:00:0{i}", user, kind) for i, user, kind in events]
+    table = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string")
+    table.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(10).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    found = QUERIES["stream_transitions"](spark, str(tmp_path)).orderBy("id").collect()
+    assert [tuple(row) for row in found] == [
+        (1, "5", "view", "click", "2024-01-01 10:00:00", 0),
+        (2, "5", "click", "view", "2024-01-04 10:00:03", 3),
+        (3, "9", "view", "purchase", "2024-01-05 10:00:04", 4),
+    ]
