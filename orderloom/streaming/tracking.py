@@ -2,6 +2,8 @@
 
 The state of a code is whether its order exists and its last accepted status. It lives in the
 state store (RocksDB) under the query's checkpoint, so a query that stops goes on where it was.
+It begins with the code's first request, from the stored order that is joined to the request: orders
+nobody asks for make no state, so the cost of the state follows the requests and not the store.
 Requests count in arrival order: micro-batch after micro-batch, and by ``order`` inside one, where
 rows come shuffled. So the result is that of the batch operators as long as micro-batches follow
 each other in that order, whatever their size.
@@ -60,20 +62,21 @@ class _Tracker(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("order", "alive boolean, status string")
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.state.update((True, initialState.status))
-
     def _place(self, row: Row) -> list[tuple]:
-        return [(row[name] is not None, row[name]) for name in self.order]
+        return [(part is not None, part) for part in row[: len(self.order)]]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        result = Row(*self.order, *_RESULT)
-        before = tuple(self.state.get() or (False, None))
-        alive, current = before
-        for row in sorted(rows, key=self._place):
+        # By place: a lookup of a field by its name takes longer than the step.
+        result, width, code = Row(*self.order, *_RESULT), len(self.order), key[0]
+        asked = sorted(rows, key=self._place)
+        before = self.state.get()
+        alive, current = tuple(before) if before else asked[0][width + 4 :]
+        before = tuple(before) if before else (False, None)
+        for row in asked:
             old = current if alive else None
-            outcome, alive, current = step(alive, current, row.op, row.status, row.valid)
-            yield result(*[row[name] for name in self.order], key[0], row.op, row.status, old, outcome)
+            op, status, valid = row[width + 1 : width + 4]
+            outcome, alive, current = step(alive, current, op, status, valid)
+            yield result(*row[:width], code, op, status, old, outcome)
         if (alive, current) != before:
             self.state.update((alive, current))
 
@@ -86,16 +89,23 @@ def stream_commands(
 ) -> DataFrame:
     """The streamed commands (``order_code, op, status`` and ``order``) with ``old_status`` and ``outcome``.
 
-    ``stored`` (``order_code, status``) is what exists when the query first starts; a restarted query
-    goes on from its state. The result is that of ``lifecycle.replay``.
+    ``stored`` (``order_code, status``, a row per code) is what exists when a code is first asked for;
+    from then on its state counts, also in a restarted query. The result is that of ``lifecycle.replay``.
     """
     log = lifecycle.normalize_requests(commands)
     valid = F.coalesce(F.col("status").isin(*statuses), F.lit(False))
     log = log.select(*order, "order_code", "op", "status", valid.alias("valid"))
     text = [StructField(name, StringType()) for name in _RESULT]
     output = StructType([*[log.schema[name] for name in order], *text])
-    first = None if stored is None else stored.select("order_code", "status").groupBy("order_code")
-    return log.groupBy("order_code").transformWithState(_Tracker(order), output, "Append", "None", first)
+    if stored is None:
+        log = log.withColumns({"stored": F.lit(False), "stored_status": F.lit(None).cast("string")})
+    else:
+        # Merged, as the state deals by code as well and a store may be too large to broadcast.
+        known = stored.select("order_code", F.lit(True).alias("_known"), F.col("status").alias("stored_status"))
+        log = log.join(known.hint("merge"), "order_code", "left")
+        log = log.withColumn("stored", F.coalesce("_known", F.lit(False)))
+    log = log.select(*order, "order_code", "op", "status", "valid", "stored", "stored_status")
+    return log.groupBy("order_code").transformWithState(_Tracker(order), output, "Append", "None")
 
 
 def stream_updates(
