@@ -1,6 +1,7 @@
 """CSV records with line breaks inside quotes, read by as many tasks as the files have ranges.
 
-Files are read as lines, so Spark splits them wherever it likes. A line by itself does not tell
+Files are read as lines, so Spark splits them wherever it likes, and long splits are ranges of some
+thousand lines each. A line by itself does not tell
 whether it starts inside a quoted field, but it tells where it would end in either case: a function
 of two states. Functions of lines compose in order inside a range of a file, and those of ranges
 along the file, one row per range; after that every line knows whether a record starts there.
@@ -27,7 +28,10 @@ _MOST_RANGES = 500_000
 # A record longer than this many characters is taken for a quote that never closes.
 LONGEST = 1 << 26
 
-_RANGE = ("file", "block")
+# Lines that are one range at most, so that no task has to hold more of a large block in turn.
+_RANGE_LINES = 1 << 15
+
+_RANGE = ("file", "block", "piece")
 # States of a reader at a quote: at the start of a record, outside, inside, just after a closing quote.
 _START, _OUTSIDE, _INSIDE, _CLOSED = range(4)
 
@@ -61,13 +65,13 @@ def _ends_inside(line: Column, start: int) -> Column:
     return F.when(F.contains(line, F.lit('"')), state == _INSIDE).otherwise(F.lit(start == _INSIDE))
 
 
-def _before(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def _before(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``in0, in1``: inside quotes before this row, if the first row of its keys starts outside or inside.
 
     ``end0, end1`` say the same of the end of the row. A row that ends alike in both cases settles
     what follows; after the last such row each one that swaps the states counts.
     """
-    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     settles = F.col("end0") == F.col("end1")
     swaps = F.coalesce(F.count_if(F.col("end0") & ~F.col("end1")).over(earlier), F.lit(0))
     rows = rows.withColumn("_swaps", swaps)
@@ -87,13 +91,14 @@ def _located(lines: DataFrame) -> DataFrame:
     rows = lines.withColumns(
         {
             "row": F.monotonically_increasing_id(),
+            "piece": F.shiftright(F.monotonically_increasing_id(), _RANGE_LINES.bit_length() - 1),
             "end0": _ends_inside(F.col("value"), _START),
             "end1": _ends_inside(F.col("value"), _INSIDE),
             "blank": F.col("value").isin("", "\r"),
         }
     )
     until = Window.partitionBy(*_RANGE).orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    known = _before(rows, _RANGE, "row")
+    known = _before(rows, _RANGE, ["row"])
     for k in (0, 1):
         begins = ~F.col(f"in{k}") & ~F.col("blank")
         known = known.withColumn(f"n{k}", F.count_if(begins).over(until))
@@ -105,9 +110,9 @@ def _ranges(located: DataFrame) -> DataFrame:
     last = [F.max_by(_after(F.col(f"in{k}")), "row").alias(f"end{k}") for k in (0, 1)]
     counts = [F.max(f"n{k}").alias(f"n{k}") for k in (0, 1)]
     ranges = materialize(located.groupBy("modified", *_RANGE).agg(*last, *counts), "ranges")
-    known = _before(ranges, ["file"], "block").withColumn("inside", F.col("in0"))
+    known = _before(ranges, ["file"], ["block", "piece"]).withColumn("inside", F.col("in0"))
     known = known.withColumn("starts", F.when(F.col("inside"), F.col("n1")).otherwise(F.col("n0")))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("file").orderBy("block", "piece").rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.coalesce(F.sum("starts").over(before), F.lit(0))
     known = materialize(known.select(*_RANGE, "inside", ahead.alias("ahead")), "starts")
     return F.broadcast(known) if known.count() <= _MOST_RANGES else known

@@ -99,3 +99,13 @@ def test_lines_are_functions_of_two_states(spark):
     ends = [records._ends_inside(F.col("value"), s).cast("int").alias(f"f{s}") for s in (records._START, records._INSIDE)]
     for row in rows.select("*", *ends).collect():
         assert (row.f0, row.f2) == (row.end0, row.end1), row
+
+
+def test_a_long_block_is_several_ranges(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text(random_file("long", 120), encoding="utf-8", newline="")
+    expected = in_one_task(spark, str(tmp_path))
+    monkeypatch.setattr(records, "_RANGE_LINES", 8)
+    lines = records.with_origin(spark.read.option("lineSep", "\n").text(str(tmp_path)))
+    sizes = records._located(lines).groupBy(*records._RANGE).count()
+    assert lines.select("block").distinct().count() == 1 and sizes.agg(F.max("count")).first()[0] == 8
+    assert split(spark, str(tmp_path)) == expected and len(expected) == 120
