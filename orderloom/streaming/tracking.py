@@ -89,7 +89,7 @@ def stream_commands(
 ) -> DataFrame:
     """The streamed commands (``order_code, op, status`` and ``order``) with ``old_status`` and ``outcome``.
 
-    ``stored`` (``order_code, status``, a row per code) is what exists when a code is first asked for;
+    ``stored`` (``order_code, status``) is what exists when a code is first asked for;
     from then on its state counts, also in a restarted query. The result is that of ``lifecycle.replay``.
     """
     log = lifecycle.normalize_requests(commands)
@@ -102,7 +102,7 @@ def stream_commands(
     else:
         # Merged, as the state deals by code as well and a store may be too large to broadcast.
         known = stored.select("order_code", F.lit(True).alias("_known"), F.col("status").alias("stored_status"))
-        log = log.join(known.hint("merge"), "order_code", "left")
+        log = log.join(known.dropDuplicates(["order_code"]).hint("merge"), "order_code", "left")
         log = log.withColumn("stored", F.coalesce("_known", F.lit(False)))
     log = log.select(*order, "order_code", "op", "status", "valid", "stored", "stored_status")
     return log.groupBy("order_code").transformWithState(_Tracker(order), output, "Append", "None")

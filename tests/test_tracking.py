@@ -151,7 +151,7 @@ def test_the_query_numbers_and_dates_its_transitions(spark, tmp_path):
 def test_orders_nobody_asks_for_make_no_state(spark, tmp_path):
     put(tmp_path / "in", [(0, 0, "HOT", "update", "completed"), (1, 0, "new", "create", "pending")], 0, 2)
     stored = spark.range(500).selectExpr("concat('C', id) AS order_code", "'pending' AS status")
-    stored = stored.unionByName(spark.createDataFrame(STORED, "order_code string, status string"))
+    stored = stored.unionByName(spark.createDataFrame([*STORED, STORED[0]], "order_code string, status string"))
     stream = tracking.stream_commands(source(spark, tmp_path / "in"), ORDER, stored)
     query = tracking.collect_into(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     query.awaitTermination()
