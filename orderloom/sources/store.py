@@ -144,14 +144,16 @@ class OrderStore:
         order code inside a cluster.
         """
         batch_id, live = self.next_batch(), self.orders()
-        clusters = max(1, -(-live.count() // cluster_rows))
+        kept = self.status_counts().agg(F.coalesce(F.sum("orders"), F.lit(0))).first()[0]
+        clusters = max(1, -(-kept // cluster_rows))
         cluster = F.pmod(F.xxhash64("id"), F.lit(clusters)).cast("int")
         rows = live.withColumn("cluster", cluster).repartition(clusters, "cluster")
         sorted_rows = rows.sortWithinPartitions("cluster", "order_code")
         sorted_rows.write.mode("overwrite").partitionBy("cluster").parquet(self._folder("snapshot", batch_id))
         marks = [(name, self.last_id(name)) for name in ("orders", "history")]
         self.write("marks", self.spark.createDataFrame(marks, TABLES["marks"]), batch_id)
-        self.write("status_counts", live.groupBy("status").agg(F.count("*").alias("orders")), batch_id)
+        held = self.written("snapshot", batch_id)
+        self.write("status_counts", held.groupBy("status").agg(F.count("*").alias("orders")), batch_id)
         self.publish(batch_id, ["snapshot", "marks", "status_counts"])
         return batch_id
 
