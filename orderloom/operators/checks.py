@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.operators.storage import merged
 
 
 def duplicate_keys(table: DataFrame, *keys: str) -> DataFrame:
@@ -16,7 +17,7 @@ def orphans(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Distinct customer ids that orders use and the dimension lacks, with their order count."""
     used = orders.groupBy("customer_id").agg(F.count("*").alias("orders"))
     known = customers.select(F.col("id").alias("customer_id"))
-    return used.join(known, "customer_id", "left_anti")
+    return used.join(merged(known), "customer_id", "left_anti")
 
 
 def restricted(customers: DataFrame, orders: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import text
 from orderloom.operators.ids import dense_ids
+from orderloom.operators.storage import materialize, merged
 
 COLUMNS = ("id", "name", "normalized_name")
 
@@ -29,9 +30,9 @@ def first_spellings(rows: DataFrame) -> DataFrame:
         _key(rows).alias("normalized_name"),
         "pos",
     )
-    # Text is no hash aggregate's value, but it may be a key: first one row per spelling,
-    # and of these few the one that holds its customer's first position.
-    spellings = named.groupBy("normalized_name", "name").agg(F.min("pos").alias("pos"))
+    # Text is no hash aggregate's value, but it may be a key: first one row per spelling
+    # (written, or the rows would be counted twice), and of these few the one that holds its customer's first position.
+    spellings = materialize(named.groupBy("normalized_name", "name").agg(F.min("pos").alias("pos")), "spellings")
     firsts = spellings.groupBy("normalized_name").agg(F.min("pos").alias("first_pos"))
     pair = firsts.withColumn("pos", F.col("first_pos"))
     return spellings.join(pair, ["normalized_name", "pos"]).select("normalized_name", "name", "first_pos")
@@ -40,7 +41,7 @@ def first_spellings(rows: DataFrame) -> DataFrame:
 def new_customers(rows: DataFrame, customers: DataFrame) -> DataFrame:
     """First spellings whose key the dimension lacks."""
     return first_spellings(rows).join(
-        customers.select("normalized_name"), "normalized_name", "left_anti"
+        merged(customers.select("normalized_name")), "normalized_name", "left_anti"
     )
 
 
@@ -73,7 +74,7 @@ def resolve(rows: DataFrame, customers: DataFrame) -> DataFrame:
     """Add ``customer_id`` by customer key. A customer may own any share of the rows."""
     keys = customers.select(F.col("id").alias("customer_id"), "normalized_name")
     keyed = rows.withColumn("normalized_name", _key(rows))
-    return keyed.join(keys, "normalized_name", "left").drop("normalized_name", "customer_key")
+    return keyed.join(merged(keys), "normalized_name", "left").drop("normalized_name", "customer_key")
 
 
 def search(customers: DataFrame, wanted: str | None) -> DataFrame:

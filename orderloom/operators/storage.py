@@ -28,6 +28,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/orderloom/{label}-{uuid.uuid4().hex}"
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the data, to be merged.
+
+    Spark weighs a side by the bytes of its files. These are compressed, so what it would broadcast
+    by that can be many times larger on the driver.
+    """
+    return df.hint("merge")
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write the rows once and continue from the written table."""
     path = new_folder(df.sparkSession, label)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import text
-from orderloom.operators.storage import new_folder
+from orderloom.operators.storage import materialize, new_folder
 from orderloom.plans.loading import import_orders
 from orderloom.sources.store import OrderStore
 
@@ -96,7 +96,8 @@ def new_loaded_store(spark: SparkSession, sf_dir: str) -> OrderStore:
     """A store that imported the seeds and then the intake."""
     store = OrderStore(spark, new_folder(spark, "store"))
     for feed in (seeds(spark, sf_dir), intake(spark, sf_dir)):
-        result = import_orders(store, feed, confirmed=True)
+        # Written, as an import reads its feed twice.
+        result = import_orders(store, materialize(feed, "feed"), confirmed=True)
         if not result.success:
             raise RuntimeError(result.message)
     return store
