@@ -8,7 +8,8 @@
    a Spark job, and so are the points of the contour around the interval: each solves the complex
    shifted system, and the weighted sum of the solutions projects onto the wanted eigenvectors.
    Rayleigh-Ritz on the projected basis extracts them. This repeats until the residuals are at
-   rounding level; in the end the number of eigenvalues found must equal the inertia count.
+   rounding level, with twice as many vectors (at most one per component) after a round that gains
+   little, as where eigenvalues lie close below the interval; in the end the number of eigenvalues found must equal the inertia count.
 3. Every row is projected in tasks. The whitened fit list's covariance is measured the same way.
 
 The covariance has as many rows as vectors have components (at most ``Whitening.most_dims``),
@@ -268,16 +269,20 @@ def largest(spark: SparkSession, matrix: np.ndarray, how: Whitening) -> tuple[np
         low, high = _interval(solver, top, how)
         above, beyond = solver.above([low, high])
         held = above - beyond
-        basis = np.random.default_rng(0).standard_normal((n, min(n, held + how.extra)))
-        before = np.inf
+        draw = np.random.default_rng(0).standard_normal
+        basis = draw((n, min(n, held + how.extra)))
+        before, slow = np.inf, False
         for _ in range(how.most_rounds):
             basis = np.linalg.qr(solver.project((low + high) / 2, (high - low) / 2, basis, how.points))[0]
             values, turns = np.linalg.eigh(basis.T @ matrix @ basis)
             basis, inside = basis @ turns, values > low
             left = np.abs(matrix @ basis - basis * values)[:, inside].max(initial=0.0) / top
-            if left < 1e-15 or (left < 1e-11 and left > before / 2):
+            slow, stalled = left > before / 16, slow
+            if left < 1e-15 or (left < 1e-11 and slow and (stalled or basis.shape[1] == n)):
                 break
             before = left
+            if slow:  # eigenvalues close below the interval: more vectors take them in, all of them in the end
+                basis = np.hstack([basis, draw((n, min(n, 2 * basis.shape[1]) - basis.shape[1]))])
         else:
             raise ArithmeticError(f"residuals stay at {left:.1e} of the largest eigenvalue")
         if inside.sum() != held:

@@ -124,3 +124,14 @@ def test_hot_vector(spark):
     _, _, fit = whitening.whiten(docs)
     _, n, _, _, values, _ = dense([(r.vec_id, r.embedding) for r in docs.collect()])
     assert fit.rows == n == 801 and np.allclose(fit.values, values, rtol=1e-9)
+
+
+def test_eigenvalues_close_below_the_wanted_ones(spark):
+    """One variance far above the others, which lie close together: few vectors alone never tell them apart."""
+    values = np.r_[0.44, 0.145, 0.0744, 0.07425, 0.0722 - 2.5e-4 * np.arange(60)]
+    turn = np.linalg.qr(np.random.default_rng(3).standard_normal((64, 64)))[0]
+    matrix = (turn * values) @ turn.T
+    matrix = (matrix + matrix.T) / 2
+    found, vectors = whitening.largest(spark, matrix, whitening.Whitening())
+    assert np.abs(found - values[:4]).max() < 1e-14
+    assert np.abs(matrix @ vectors - vectors * found).max() < 1e-14
