@@ -6,53 +6,48 @@ cuts before a blank and around a line feed, so the ids of each word can be told
 
 from __future__ import annotations
 
-import string
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-# Words held and bytes of text cut at once: workers live on after a task, so both stay small.
-CACHED = 300_000
+# Words held, some 40 bytes each, and bytes of text cut at once: workers live on after a task, so both stay small.
+CACHED = 500_000
 # Words encoded as one text.
-JOINED = 1000
-TEXT_BYTES = 1 << 20
+JOINED = 200
+TEXT_BYTES = 4 << 20
 # White space that is neither blank nor line feed; texts with it are not cut.
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 _WIDE_SPACE = "     　" + "".join(map(chr, range(0x2000, 0x200B)))
 _loaded: dict[str, Encoder] = {}
 
 
+def _taken(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the pieces ``which``, in that order, and where those of each end."""
+    lengths = sizes[which]
+    ends = np.cumsum(lengths)
+    shift = (np.cumsum(sizes) - sizes)[which] - ends + lengths
+    return ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, lengths)], ends
+
+
 class _Cache:
-    """Ids of words that all follow the same prefix, as 32-bit numbers.
+    """Ids of distinct pieces, as 32-bit numbers: words with the blank or line feed before them."""
 
-    A word that ends in punctuation after a letter is two pieces to the library's splitting
-    pattern, so it is put together from the ids of both: one entry serves word and sentence end.
-    """
+    def __init__(self):
+        self.pieces, self.ids = pa.array([], pa.large_string()), np.zeros(0, np.uint32)
+        self.sizes, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def __init__(self, encode, encode_words, tails: dict[str, bytes]):
-        self.encode, self.encode_words, self.tails, self.ids = encode, encode_words, tails, {}
-
-    def learn(self, words: list[str]) -> None:
-        """Make sure that all of ``words`` are there; what was learned before may go if it is much."""
-        ids, wanted = self.ids, set(words)
-        if len(ids) > CACHED:
-            ids = self.ids = {w: ids[w] for w in wanted.intersection(ids)}
-        composed, single = [], set()
-        for word in wanted.difference(ids):
-            base = word.rstrip(string.punctuation)
-            if base != word and base and base[-1].isalpha():
-                composed.append((word, base, word[len(base) :]))
-                if base not in ids:
-                    single.add(base)
-            else:
-                single.add(word)
-        new = list(single)
-        ids.update(zip(new, self.encode_words(new)))
-        tails = list({tail for _, _, tail in composed if tail not in self.tails})
-        self.tails.update(zip(tails, self.encode(tails)))
-        for word, base, tail in composed:
-            ids[word] = ids[base] + self.tails[tail]
+    def add(self, pieces: pa.LargeStringArray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
+
+    def shrink(self) -> None:
+        """Keep what came in most batches, half of what may be held."""
+        often = np.sort(np.argsort(-self.uses, kind="stable")[: CACHED // 2])
+        self.ids, _ = _taken(self.ids, self.sizes, often)
+        self.pieces, self.sizes, self.uses = self.pieces.take(pa.array(often)), self.sizes[often], self.uses[often]
 
 
 class Encoder:
@@ -67,9 +62,7 @@ class Encoder:
         import tokenizers
 
         self.library = tokenizers.Tokenizer.from_file(path)
-        tails: dict[str, bytes] = {}
-        self.first = _Cache(self._encode, self._encode_first, tails)
-        self.later = _Cache(self._encode, self._encode_later, tails)
+        self.cache = _Cache()
         self.feed = self._encode(["\n"])[0]
         self.feed_id = int(np.frombuffer(self.feed, np.uint32)[0])
         # Byte-level vocabularies write a blank as this letter.
@@ -81,35 +74,43 @@ class Encoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32).tobytes() for x in found]
 
-    def _encode_later(self, words: list[str]) -> list[bytes]:
-        """The ids of each word behind a blank: a word's first id is the one that starts with a blank."""
-        out = []
-        for at in range(0, len(words), JOINED):
-            some = words[at : at + JOINED]
-            found = self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, np.uint32)
-            starts = np.flatnonzero(self.blank[ids]).tolist()
-            if len(starts) != len(some):  # never seen; such words are encoded one by one
-                out += self._encode([" " + word for word in some])
-                continue
-            raw, ends = ids.tobytes(), [*starts[1:], len(ids)]
-            out += [raw[4 * a : 4 * b] for a, b in zip(starts, ends)]
-        return out
-
-    def _encode_first(self, words: list[str]) -> list[bytes]:
-        """The ids of each word at the start of a line: between line feeds, each an id of its own."""
-        out = []
-        for at in range(0, len(words), JOINED):
-            some = words[at : at + JOINED]
-            found = self.library.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0]
+    def _alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_many``, piece by piece."""
+        found = self._encode([piece.removeprefix("\n") for piece in pieces])
+        found = [self.feed + ids if piece[0] == "\n" else ids for piece, ids in zip(pieces, found)]
+        return np.frombuffer(b"".join(found), np.uint32), np.array([len(ids) // 4 for ids in found], np.int64)
+
+    def _many(self, pieces: pa.LargeStringArray, line_starts: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``pieces`` in a row, and how many each has.
+
+        A piece's first id is the only one that starts with a blank, or is a line feed's.
+        """
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))]
+        for at in range(0, len(pieces), JOINED):
+            some = pieces[at : at + JOINED].to_pylist()
+            found = self.library.encode_batch_fast(["".join(some)], add_special_tokens=False)[0]
             ids = np.array(found.ids, np.uint32)
-            ends = [*np.flatnonzero(ids == self.feed_id).tolist(), len(ids)]
-            if len(ends) != len(some):
-                out += self._encode(some)
-                continue
-            raw, starts = ids.tobytes(), [0, *(end + 1 for end in ends[:-1])]
-            out += [raw[4 * a : 4 * b] for a, b in zip(starts, ends)]
-        return out
+            starts = np.flatnonzero(ids == self.feed_id if line_starts else self.blank[ids])
+            if len(starts) == len(some):
+                out.append((ids, np.diff(starts, append=len(ids))))
+            else:  # never seen; such words are encoded one by one
+                out.append(self._alone(some))
+        return np.concatenate([ids for ids, _ in out]), np.concatenate([sizes for _, sizes in out])
+
+    def _look_up(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """Where each of the distinct ``pieces`` is in the cache; what was learned before may go if it is much."""
+        cache = self.cache
+        if len(cache.pieces) > CACHED:
+            cache.shrink()
+        places = pc.index_in(pieces, value_set=cache.pieces).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        lacking = np.flatnonzero(places < 0)
+        line_starts = pc.starts_with(pieces.take(pa.array(lacking)), "\n").to_numpy(zero_copy_only=False)
+        for new, first in (lacking[line_starts], True), (lacking[~line_starts], False):
+            places[new] = np.arange(len(cache.pieces), len(cache.pieces) + len(new))
+            some = pieces.take(pa.array(new))
+            cache.add(some, *self._many(some, first))
+        cache.uses[places] += 1
+        return places
 
     def _can_be_cut(self, text: str) -> bool:
         if not text or text[0] in " \n" or text[-1] in " \n" or "<|" in text:
@@ -122,25 +123,26 @@ class Encoder:
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         texts = list(texts)
-        cut = [[line.split(" ") for line in t.split("\n")] if self._can_be_cut(t) else None for t in texts]
-        whole = [i for i, lines in enumerate(cut) if lines is None]
-        direct = dict(zip(whole, self._encode([texts[i] for i in whole])))
-        lines = [line for found in cut if found is not None for line in found]
-        self.first.learn([line[0] for line in lines])
-        later = []
-        for line in lines:
-            later += line[1:]
-        self.later.learn(later)
-        return [direct[i] if found is None else self._joined(found) for i, found in enumerate(cut)]
-
-    def _joined(self, lines: list[list[str]]) -> bytes:
-        first, later = self.first.ids, self.later.ids.__getitem__
-        out = []
-        for line in lines:
-            out.append(self.feed)
-            out.append(first[line[0]])
-            out += map(later, line[1:])
-        return b"".join(out[1:])
+        cut = [self._can_be_cut(t) for t in texts]
+        whole = iter(self._encode([t for t, can in zip(texts, cut) if not can]))
+        joined = iter(self._joined([t for t, can in zip(texts, cut) if can]))
+        return [next(joined if can else whole) for can in cut]
+
+    def _joined(self, texts: list[str]) -> list[bytes]:
+        """Texts that can be cut, put together from their distinct pieces."""
+        if not texts:
+            return []
+        # A line feed before every text: each piece then begins with its separator.
+        encoded = [t.encode() for t in texts]
+        data = np.frombuffer(b"\n" + b"\n".join(encoded), np.uint8)
+        begins = np.flatnonzero((data == 32) | (data == 10))
+        offsets = np.append(begins, len(data))
+        words = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        which = self._look_up(words.dictionary)[words.indices.to_numpy()]
+        found, ends = _taken(self.cache.ids, self.cache.sizes, which)
+        starts = np.cumsum([0, *(len(e) + 1 for e in encoded)])
+        edges = np.append(0, ends)[np.searchsorted(begins, starts)].tolist()
+        return [found[a + 1 : b].tobytes() for a, b in zip(edges, edges[1:])]
 
 
 def encoder(path: str) -> Encoder:
@@ -151,10 +153,9 @@ def encoder(path: str) -> Encoder:
 
 
 def rest(path: str) -> None:
-    """After a task: keep the vocabulary only, as the worker may live on for other work."""
-    if path in _loaded:
-        _loaded[path].first.ids.clear()
-        _loaded[path].later.ids.clear()
+    """After a task: keep the vocabulary and what the cache may hold, as the worker may live on for other work."""
+    if path in _loaded and len(_loaded[path].cache.pieces) > CACHED:
+        _loaded[path].cache.shrink()
     pa.default_memory_pool().release_unused()
 
 

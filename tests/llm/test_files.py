@@ -161,3 +161,30 @@ def test_files_are_read_back_by_many_tasks(spark, settings):
     assert files.index.select("file").distinct().count() > 8 and archives.count() > 8
     assert tokenfile.read_documents(files).select(task).distinct().count() > 4
     assert warc.read_chunks(spark, archives).select(task).distinct().count() > 4
+
+
+def test_words_are_encoded_once_and_few_are_held(library, monkeypatch):
+    """The library sees a word once, also when another task follows, until the cache is over its bound."""
+    from orderloom.llm import bpe
+
+    encoder, asked = Encoder(byte_bpe_path()), []
+    batch = encoder.library.encode_batch_fast
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return batch(texts, **options)
+
+    monkeypatch.setattr(encoder, "library", Counting())
+    monkeypatch.setitem(bpe._loaded, "counted", encoder)
+    texts = [" ".join(f"w{k}x{i}," for i in range(40)) + f"\nline{k} öäß. ends\nline{k}" for k in range(30)]
+    plain = [np.array(library.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in texts]
+    assert encoder.encode(texts) == plain and asked
+    bpe.rest("counted")
+    asked.clear()
+    assert encoder.encode(texts[::-1]) == plain[::-1] and not asked
+    monkeypatch.setattr(bpe, "CACHED", 100)
+    for t, ids in zip(texts, plain):
+        assert encoder.encode([t]) == [ids]
+        bpe.rest("counted")
+        assert len(encoder.cache.pieces) <= 100
