@@ -12,11 +12,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from orderloom.llm.words import rest as release
+
 # Words held, some 40 bytes each, and bytes of text cut at once: workers live on after a task, so both stay small.
 CACHED = 500_000
 # Words encoded as one text.
 JOINED = 200
 TEXT_BYTES = 4 << 20
+# Pieces put together at once: places in 64 bits for each of their ids are held only that long.
+STEP = 1 << 15
 # White space that is neither blank nor line feed; texts with it are not cut.
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 _WIDE_SPACE = "     　" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -26,9 +30,14 @@ _loaded: dict[str, Encoder] = {}
 def _taken(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the pieces ``which``, in that order, and where those of each end."""
     lengths = sizes[which]
-    ends = np.cumsum(lengths)
-    shift = (np.cumsum(sizes) - sizes)[which] - ends + lengths
-    return ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, lengths)], ends
+    starts, ends = np.cumsum(sizes) - sizes, np.cumsum(lengths)
+    out = np.empty(ends[-1] if len(ends) else 0, ids.dtype)
+    for at in range(0, len(which), STEP):
+        some, last = lengths[at : at + STEP], ends[at : at + STEP]
+        begin, end = last[0] - some[0], last[-1]
+        shift = starts[which[at : at + STEP]] - last + some
+        out[begin:end] = ids[np.arange(begin, end) + np.repeat(shift, some)]
+    return out, ends
 
 
 class _Cache:
@@ -36,12 +45,12 @@ class _Cache:
 
     def __init__(self):
         self.pieces, self.ids = pa.array([], pa.large_string()), np.zeros(0, np.uint32)
-        self.sizes, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.sizes, self.uses = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def add(self, pieces: pa.LargeStringArray, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.pieces = pa.concat_arrays([self.pieces, pieces])
-        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
-        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes.astype(np.int32)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int32)])
 
     def shrink(self) -> None:
         """Keep what came in most batches, half of what may be held."""
@@ -135,13 +144,15 @@ class Encoder:
         # A line feed before every text: each piece then begins with its separator.
         encoded = [t.encode() for t in texts]
         data = np.frombuffer(b"\n" + b"\n".join(encoded), np.uint8)
-        begins = np.flatnonzero((data == 32) | (data == 10))
-        offsets = np.append(begins, len(data))
-        words = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        begins = np.append(np.flatnonzero((data == 32) | (data == 10)), len(data))
+        words = pa.LargeStringArray.from_buffers(len(begins) - 1, pa.py_buffer(begins), pa.py_buffer(data)).dictionary_encode()
+        # The number of each text's first piece; the bytes are then no longer held.
+        firsts = np.searchsorted(begins, np.cumsum([0, *(len(e) + 1 for e in encoded)]))
+        del encoded, data, begins
         which = self._look_up(words.dictionary)[words.indices.to_numpy()]
+        del words
         found, ends = _taken(self.cache.ids, self.cache.sizes, which)
-        starts = np.cumsum([0, *(len(e) + 1 for e in encoded)])
-        edges = np.append(0, ends)[np.searchsorted(begins, starts)].tolist()
+        edges = np.append(0, ends)[firsts].tolist()
         return [found[a + 1 : b].tobytes() for a, b in zip(edges, edges[1:])]
 
 
@@ -156,7 +167,7 @@ def rest(path: str) -> None:
     """After a task: keep the vocabulary and what the cache may hold, as the worker may live on for other work."""
     if path in _loaded and len(_loaded[path].cache.pieces) > CACHED:
         _loaded[path].cache.shrink()
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def byte_bpe_path() -> str:

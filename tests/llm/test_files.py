@@ -188,3 +188,24 @@ def test_words_are_encoded_once_and_few_are_held(library, monkeypatch):
         assert encoder.encode([t]) == [ids]
         bpe.rest("counted")
         assert len(encoder.cache.pieces) <= 100
+
+
+def test_ids_are_put_together_in_steps(library, monkeypatch):
+    """What is held beside a text's ids, in bytes of that text, stays small (pipeline, token-files)."""
+    import tracemalloc
+
+    from orderloom.llm import bpe
+
+    encoder = bpe.Encoder(byte_bpe_path())
+    text = " ".join(f"word{i % 997}" for i in range(300_000))
+    encoder.encode([text])
+    tracemalloc.start()
+    try:
+        encoder.encode([text])
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 10 * len(text)
+    monkeypatch.setattr(bpe, "STEP", 3)
+    few = ["one two three four five six seven eight nine", "", "a", "b c\nd", text[:500]]
+    assert encoder.encode(few) == [np.array(library.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in few]
