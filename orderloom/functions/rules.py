@@ -57,9 +57,17 @@ def status_rule(status: Column, statuses: Sequence[str] = domain.STATUSES) -> Co
     return first_hit((~status.isin(*statuses), domain.INVALID_STATUS))
 
 
+# Stands for "no reason" inside an array; no reason reads like this.
+_NONE = "\x00"
+
+
 def collect_reasons(*groups: Column) -> Column:
-    """The reasons that fired, in group order."""
-    return F.array_compact(F.array(*groups))
+    """The reasons that fired, in group order.
+
+    Not ``array_compact``: that is a lambda, under which Spark interprets all the rules row by row.
+    """
+    held = [F.coalesce(group, F.lit(_NONE)) for group in groups]
+    return F.array_remove(F.array(*held), _NONE)
 
 
 def group_reasons(groups: Sequence[Group]) -> list[Column]:

@@ -13,8 +13,13 @@ COLUMNS = ("id", "name", "normalized_name")
 
 
 def with_keys(rows: DataFrame) -> DataFrame:
-    """Add ``customer_key``. Worth writing along when several steps need it."""
-    return rows.withColumn("customer_key", text.customer_key(F.col("customer_name")))
+    """Add ``customer_key`` to rows with normalized names. Worth writing along when several steps need it."""
+    return rows.withColumn("customer_key", text.casefold(F.col("customer_name")))
+
+
+def _name(rows: DataFrame) -> Column:
+    name = F.col("customer_name")
+    return name if "customer_key" in rows.columns else text.customer_name(name)
 
 
 def _key(rows: DataFrame) -> Column:
@@ -26,7 +31,7 @@ def _key(rows: DataFrame) -> Column:
 def first_spellings(rows: DataFrame) -> DataFrame:
     """One row per customer key with the spelling seen first (map-side combined)."""
     named = rows.select(
-        text.customer_name(F.col("customer_name")).alias("name"),
+        _name(rows).alias("name"),
         _key(rows).alias("normalized_name"),
         "pos",
     )
