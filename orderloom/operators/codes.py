@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.operators.storage import materialize
+from orderloom.operators.timeline import count_rows, fit_tasks
 
 
 def first_positions(orders: DataFrame) -> DataFrame:
@@ -18,9 +20,12 @@ def mark_stored(facts: DataFrame, registry: DataFrame) -> DataFrame:
     The registry is cut to the codes in question before anything else, so a few
     codes reach a large registry as a broadcast and nothing of it is shuffled.
     """
-    codes = registry.select("order_code")
-    asked = codes.join(facts.select("order_code"), "order_code", "left_semi").distinct()
-    return facts.join(asked.withColumn("stored", F.lit(True)), "order_code", "left")
+    return facts.join(_known(facts, registry), "order_code", "left")
+
+
+def _known(asked: DataFrame, registry: DataFrame) -> DataFrame:
+    known = already_stored(registry.select("order_code"), asked).distinct()
+    return known.withColumn("stored", F.lit(True))
 
 
 def flag_codes(orders: DataFrame, registry: DataFrame | None) -> DataFrame:
@@ -45,6 +50,23 @@ def flag_codes(orders: DataFrame, registry: DataFrame | None) -> DataFrame:
     ).drop("is_first")
 
 
+def flag_stored_firsts(requests: DataFrame, registry: DataFrame) -> DataFrame:
+    """Add ``stored`` as ``flag_codes`` does, where ``pos`` may be several columns.
+
+    Such positions are no hash aggregate's value, so their minimum would sort all rows before they
+    are shuffled and after. As long as no code has more rows than one task should take, one window
+    ranks them instead, and the registry meets the counted codes, which are written.
+    """
+    counts = materialize(count_rows(requests, "order_code"), "asked")
+    if not fit_tasks(counts):
+        return flag_codes(requests, registry).drop("repeated")
+    place = F.rank().over(Window.partitionBy("order_code").orderBy(F.col("pos").asc_nulls_last()))
+    ranked = requests.withColumn("is_first", (place == 1) & F.col("pos").isNotNull())
+    stored = F.coalesce(F.col("is_first") & F.col("stored"), F.lit(False))
+    known = _known(counts, registry)
+    return ranked.join(known, "order_code", "left").withColumn("stored", stored).drop("is_first")
+
+
 def flag_codes_on_every_row(orders: DataFrame, registry: DataFrame) -> DataFrame:
     """As ``flag_codes``, with ``stored`` on every row of a stored code, repeated or not."""
     facts = mark_stored(first_positions(orders), registry)

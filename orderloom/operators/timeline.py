@@ -23,16 +23,25 @@ from orderloom.operators.storage import materialize
 TASK_ROWS = 1_000_000
 
 
+def count_rows(df: DataFrame, key: str) -> DataFrame:
+    """Each key with its number of ``rows`` (map-side combined)."""
+    return df.groupBy(key).agg(F.count("*").alias("rows"))
+
+
+def fit_tasks(counts: DataFrame) -> bool:
+    """Whether no key has more rows than one task should take."""
+    return (counts.agg(F.max("rows")).first()[0] or 0) <= TASK_ROWS
+
+
 class Timeline:
     """Rows of a table in a unique order per key, open for sequence columns.
 
-    ``sized`` may be a table that is cheaper to read and has as many rows of each key.
+    ``counts`` may be given: the number of ``rows`` of each key (``count_rows``).
     """
 
-    def __init__(self, df: DataFrame, key: str, order: Sequence[str], sized: DataFrame | None = None):
+    def __init__(self, df: DataFrame, key: str, order: Sequence[str], counts: DataFrame | None = None):
         self.key, self.order = key, list(order)
-        counts = (df if sized is None else sized).groupBy(key).agg(F.count("*").alias("rows"))
-        if (counts.agg(F.max("rows")).first()[0] or 0) <= TASK_ROWS:
+        if fit_tasks(count_rows(df, key) if counts is None else counts):
             self._rows, self._edges = df.withColumn("_chunk", F.lit(0)), None
             return
         ranged = df.repartitionByRange(key, *self.order)

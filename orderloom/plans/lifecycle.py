@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from orderloom.functions import domain, text
 from orderloom.operators import codes
 from orderloom.operators.ids import dense_ids
-from orderloom.operators.timeline import Timeline
+from orderloom.operators.storage import materialize
+from orderloom.operators.timeline import Timeline, count_rows
 
 # What became of one request.
 CREATED, UPDATED, UNCHANGED = "created", "updated", "unchanged"
@@ -32,9 +33,13 @@ def _initial(stored: DataFrame) -> DataFrame:
     return stored.select("order_code", F.col("status").alias("_stored"))
 
 
-def _with_stored(asked: DataFrame, stored: DataFrame) -> DataFrame:
-    """Add the stored status. The store is cut to the asked codes first, by a broadcast if they are few."""
-    wanted = _initial(stored).join(asked.select("order_code"), "order_code", "left_semi")
+def _with_stored(asked: DataFrame, stored: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Add the stored status. The store is cut to the asked codes first, by a broadcast if they are few.
+
+    ``counts`` may name these codes, each once.
+    """
+    codes_asked = (asked if counts is None else counts).select("order_code")
+    wanted = _initial(stored).join(codes_asked, "order_code", "left_semi")
     return asked.join(wanted, "order_code", "left")
 
 
@@ -52,7 +57,9 @@ def update_statuses(
     status = F.col("status")
     valid = status.isin(*statuses)
     asked = normalize_requests(requests)
-    timed = Timeline(_with_stored(asked, stored), "order_code", order, asked).last_before(
+    # Written, as both the sizes of the keys and the cut of the store come from it.
+    counts = materialize(count_rows(asked, "order_code"), "asked")
+    timed = Timeline(_with_stored(asked, stored, counts), "order_code", order, counts).last_before(
         F.when(valid, status), "_previous"
     )
     old = F.coalesce("_previous", "_stored")
@@ -128,12 +135,12 @@ def audit_rows(
 def delete_outcomes(requests: DataFrame, orders: DataFrame) -> DataFrame:
     """Each delete request with its outcome; a second request for a code finds nothing."""
     wanted = requests.withColumn("order_code", text.order_code(F.col("order_code")))
-    flagged = codes.flag_codes(wanted, orders).withColumn(
+    flagged = codes.flag_stored_firsts(wanted, orders).withColumn(
         "outcome", F.when(F.col("stored"), DELETED).otherwise(NOT_FOUND)
     )
     message = F.when(F.col("stored"), F.format_string(domain.DELETED, F.col("order_code")))
     missing = F.format_string(domain.NO_ORDER, F.col("order_code"))
-    return flagged.withColumn("message", F.coalesce(message, missing)).drop("stored", "repeated")
+    return flagged.withColumn("message", F.coalesce(message, missing)).drop("stored")
 
 
 def delete_orders(orders: DataFrame, requests: DataFrame) -> DataFrame:
@@ -164,7 +171,7 @@ def replay(
     exists_after = F.when((op == "create") & valid, True).when(op == "delete", False)
     log = log.withColumn("_exists_after", exists_after)
     alive = (
-        Timeline(log, "order_code", order, asked)
+        Timeline(log, "order_code", order, count_rows(asked, "order_code"))
         .last_before(F.col("_exists_after"), "_exists_before")
         .derive({"_alive": F.coalesce("_exists_before", F.col("_stored").isNotNull())})
     )

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.functions import domain
+from orderloom.operators import timeline
 from orderloom.plans import history, lifecycle
 
 STORED = "order_code string, status string"
@@ -85,6 +86,33 @@ def test_delete(spark, stored):
     ]
 
 
+@pytest.mark.parametrize("most", [1_000_000, 1])
+def test_deletes_by_several_columns(spark, stored, monkeypatch, most):
+    """The first request of a code wins, one given twice twice; no request is sorted to find a minimum."""
+    monkeypatch.setattr(timeline, "TASK_ROWS", most)
+    rows = [(2, None, "ord100"), (2, 5, "ord100"), (1, 7, " ORD100"), (1, 7, "ord100"), (1, 1, "gone"), (3, 1, None)]
+    plain = spark.createDataFrame(rows, "a bigint, b bigint, order_code string")
+    wanted = plain.select(F.when(F.col("a") < 3, F.struct("a", "b")).alias("pos"), "order_code")
+    told = lifecycle.delete_outcomes(wanted, stored.union(stored))
+    found = sorted((r.pos.a if r.pos else 0, r.order_code, r.outcome) for r in told.collect())
+    assert found == [
+        (0, "", "not_found"),
+        (1, "GONE", "not_found"),
+        (1, "ORD100", "deleted"),
+        (1, "ORD100", "deleted"),
+        (2, "ORD100", "not_found"),
+        (2, "ORD100", "not_found"),
+    ]
+    assert ("SortAggregate" in told._jdf.queryExecution().toString()) == (most == 1)
+
+
+def test_requests_are_joined_once(spark, stored):
+    """The store is cut by the counted codes: beside these the requests are read once."""
+    asked = spark.range(40).selectExpr("id AS seq", "'ord100' AS order_code", "'completed' AS status")
+    plan = lifecycle.update_statuses(asked, stored, ["seq"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 40") == 1
+
+
 def test_history_outlives_its_order(update, stored, spark):
     audit = lifecycle.audit_rows(update(("ORD100", "completed")), ["seq"], F.current_timestamp())
     wanted = spark.createDataFrame([(" ord100 ",), ("missing",)], "order_code string")
