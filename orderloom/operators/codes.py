@@ -36,7 +36,9 @@ def flag_codes(orders: DataFrame, registry: DataFrame | None) -> DataFrame:
     and the facts come back by (code, position), which is unique per row: no
     code, however frequent, makes a large partition. A blank code never repeats.
     """
-    firsts = first_positions(orders)
+    # The filter keeps the position on both sides that need these rows, so that they are shuffled once
+    # (a row without a position is no first row anyway).
+    firsts = first_positions(orders).where(F.col("first_pos").isNotNull())
     if registry is None:
         facts = firsts.withColumn("stored", F.lit(False))
     else:

@@ -70,6 +70,24 @@ def test_repeated_codes(uneven):
     assert {r.order_code for r in codes.first_rows(uneven).collect()} == seen
 
 
+def test_first_positions_are_shuffled_once(spark, spread):
+    """The codes asked of the registry come from the shuffle that the positions come from."""
+    rows = [(1, "A"), (2, "A"), (None, "A"), (3, "B"), (None, "C"), (4, "")]
+    orders = spark.createDataFrame(rows, "pos bigint, order_code string")
+    known = spark.createDataFrame([("A",), ("C",), ("C",)], "order_code string")
+    flagged = codes.flag_codes(orders, known)
+    found = sorted((r.order_code, r.pos or 0, r.repeated, r.stored) for r in flagged.collect())
+    assert found == [
+        ("", 4, False, False),
+        ("A", 0, True, False),
+        ("A", 1, False, True),
+        ("A", 2, True, False),
+        ("B", 3, False, False),
+        ("C", 0, True, False),
+    ]
+    assert "ReusedExchange" in flagged._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("partitions", ["1", "7", "64"])
 def test_dense_ids_do_not_depend_on_partitions(spark, uneven, settings, partitions):
     settings(
