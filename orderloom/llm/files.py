@@ -16,6 +16,12 @@ def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def mounted_path(path: str) -> str | None:
+    """The plain path of a file in a folder that all nodes have mounted; none in other stores."""
+    system, inner = filesystem(path)
+    return inner if isinstance(system, fs.LocalFileSystem) else None
+
+
 def own_file(folder: str, suffix: str) -> str:
     """A name that no other task or attempt of a task uses.
 

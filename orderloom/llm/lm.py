@@ -10,13 +10,15 @@ tokens, which the exact counts use to correct most chance hits.
     P(w | u) = (c(u, w) + prior * P1(w)) / (c(u) + prior),  P1(w) = (c(w) + 1) / (N + V + 1)
 
 The filter consists of segments of a fixed size, as many as the training tokens
-ask for. Every pair lies in one segment, so segments are built by one grouped
-task each and no task holds the whole filter. Segments and token counts go to
-all workers in shards of at most ``shard_bytes``, as flat files that Spark copies
-to each node once and workers map into memory: neither the driver nor a worker
-holds a shard, and the workers of a node share its pages. Texts are probed once
-per shard, and counts found so far travel with the texts. One shard suffices
-until the corpus has some hundred million tokens.
+ask for. Every pair lies in one segment, and a few neighbouring segments are built
+by one grouped task, so no task holds the whole filter. Tasks send their counts of
+pairs packed, a row for each of these groups. Segments and token counts go to
+all workers in shards of at most ``shard_bytes``, as flat files that workers map
+into memory: neither the driver nor a worker holds a shard, and the workers of a
+node share its pages. Where the shared folder is mounted, the files are mapped in
+place; from other stores Spark copies them to each executor. Texts are read and
+split once, however many shards there are: the pairs of a batch are put in order
+of their segments and probed shard after shard, and nothing is written in between.
 
 Defined cases: a null or empty text is scored as its end alone; a null id counts
 as the empty string; without training texts every count is 0.
@@ -31,22 +33,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
+from pyspark import SparkContext, SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.files import Sink
+from orderloom.llm.files import Sink, mounted_path, open_input, own_file
 from orderloom.llm.words import bytewise, combine, mix, split_words
 from orderloom.operators.storage import materialize, new_folder
 
 END, BEGIN = np.uint64(0x5E9D3C1F7A2B8841), np.uint64(0xB1A6F00D2C4E9377)
 SEGMENT_BITS = 1 << 19
+GROUPED = 16
 # A pair seen n times makes 1 + floor(log2(n)) <= n events, so there are at most as many events as
 # tokens, and each has 8 bits or more: of unseen pairs at most (1 - exp(-4 / 8)) ** 4, 2.4 %, pass as seen.
 BITS_PER_TOKEN = 8
 PROBES = 4
 SHARD_BYTES = 192 << 20
-FETCHED = 256
 WORD_BYTES = 12
 MOST_HELD = 1_000_000
 TEXT_BYTES = 2 << 20
@@ -74,6 +76,14 @@ def pairs_of(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return combine(before, tokens)
 
 
+def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sum of the weights of each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
+    return keys[first], np.add.reduceat(weights[order], first) if len(first) else np.zeros(0, np.int64)
+
+
 class _Counter:
     """Counts of 64-bit keys, handed on whenever it holds many, so its size is bounded."""
 
@@ -90,11 +100,7 @@ class _Counter:
         keys = np.concatenate([self.keys, *self.waiting])
         weights = np.ones(len(keys), np.int64)
         weights[: len(self.keys)] = self.counts
-        order = np.argsort(keys)
-        keys = keys[order]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
-        self.keys = keys[first]
-        self.counts = np.add.reduceat(weights[order], first) if len(first) else np.zeros(0, np.int64)
+        self.keys, self.counts = _summed(keys, weights)
         self.waiting, self.n = [], 0
 
     def hand_on(self, all_of_it: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -141,28 +147,87 @@ def _bits(pairs: np.ndarray, level: int) -> Iterator[np.ndarray]:
         place = (place + step) & np.uint64(SEGMENT_BITS - 1)
 
 
-def _build_segment(table: pa.Table) -> pa.Table:
-    keys = table.column("pair").to_numpy().view(np.uint64)
-    pairs, place = np.unique(keys, return_inverse=True)
-    counts = np.bincount(place, table.column("n").to_numpy(), len(pairs)).astype(np.int64)
-    levels = 1 + np.floor(np.log2(counts)).astype(np.int64)
-    bits = np.zeros(SEGMENT_BITS, bool)
-    for level in range(1, int(levels.max(initial=0)) + 1):
-        for place in _bits(pairs[levels >= level], level):
-            bits[place] = True
-    segment = table.column("segment")[0].as_py()
-    return pa.table({"segment": pa.array([segment], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+def _start(segment: np.ndarray, segments: int) -> np.ndarray:
+    """How many of the 2**32 upper halves of pairs lie in earlier segments."""
+    each, more = divmod(1 << 32, segments)
+    return segment * np.uint64(each) + np.minimum(segment, np.uint64(more))
+
+
+def _placed(pairs: np.ndarray, segments: int) -> np.ndarray:
+    """Pairs renumbered one to one, so that they are in order of their segments."""
+    high, low = pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)
+    turn = high // np.uint64(segments)
+    return (_start(high - turn * np.uint64(segments), segments) + turn) << np.uint64(32) | low
+
+
+def _found_at(placed: np.ndarray, low: int, high: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that ``_placed`` renumbered, all of the segments from ``low`` to ``high``; the lines of these after ``low``."""
+    starts = _start(np.arange(low, high, dtype=np.uint64), segments)
+    rank = placed >> np.uint64(32)
+    line = np.searchsorted(starts, rank, side="right") - 1
+    upper = (rank - starts[line]) * np.uint64(segments) + (line + low).astype(np.uint64)
+    return upper << np.uint64(32) | placed & np.uint64(0xFFFFFFFF), line
+
+
+def _pack(placed: np.ndarray, counts: np.ndarray, start: int) -> bytes:
+    """Ascending numbers and their counts as compressed planes: of differences and counts the upper bytes are mostly 0."""
+    columns = np.stack([np.diff(placed, prepend=np.uint64(start)), counts.view(np.uint64)])
+    return pa.compress(np.ascontiguousarray(columns.view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1)), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, n: int, start: int) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(pa.decompress(packed, 16 * n, codec="zstd"), np.uint8).reshape(2, 8, n)
+    steps, counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64).reshape(2, n)
+    return np.cumsum(steps) + np.uint64(start), counts.view(np.int64)
+
+
+def _group_start(group: int, segments: int) -> int:
+    return int(_start(np.array([group * GROUPED], np.uint64), segments)[0]) << 32
+
+
+def _build_group(segments: int, folder: str):
+    def run(table: pa.Table) -> pa.Table:
+        group = table.column("group")[0].as_py()
+        start, low = _group_start(group, segments), group * GROUPED
+        high = min(low + GROUPED, segments)
+        rows = zip(table.column("packed").to_pylist(), table.column("n").to_pylist())
+        placed, counts = _summed(*map(np.concatenate, zip(*[_unpack(packed, n, start) for packed, n in rows])))
+        pairs, line = _found_at(placed, low, high, segments)
+        levels = 1 + np.floor(np.log2(counts)).astype(np.int64)
+        bits = np.zeros((high - low, SEGMENT_BITS), bool)
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            at = np.flatnonzero(levels >= level)
+            for place in _bits(pairs[at], level):
+                bits[line[at], place] = True
+        sink = Sink(own_file(folder, ".bits"))
+        sink.write(np.packbits(bits, axis=1).tobytes())
+        sink.close()
+        return pa.table({"group": pa.array([group], pa.int64()), "path": [sink.path]})
+
+    return run
 
 
-def pair_filter(texts: DataFrame, segments: int) -> DataFrame:
-    """The filter's segments: ``segment`` number and its ``bits``."""
+def packed_pairs(texts: DataFrame, segments: int) -> DataFrame:
+    """What tasks have counted: a row for each ``group`` of segments with the ``n`` pairs there and their counts, ``packed``."""
 
     def shape(found):
-        arrays = [pa.array(_segment(found[0], segments)), pa.array(found[0].view(np.int64)), pa.array(found[1])]
-        return pa.RecordBatch.from_arrays(arrays, names=["segment", "pair", "n"])
+        placed, counts = found
+        groups = range(-(-segments // GROUPED))
+        starts = [_group_start(g, segments) for g in groups]
+        edges = [*np.searchsorted(placed, np.array(starts, np.uint64)).tolist(), len(placed)]
+        rows = [(g, b - a, _pack(placed[a:b], counts[a:b], starts[g])) for g, a, b in zip(groups, edges, edges[1:]) if b > a]
+        arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))]
+        return pa.RecordBatch.from_arrays(arrays, names=["group", "n", "packed"])
+
+    keys = _count_with(lambda before, tokens: _placed(pairs_of(before, tokens), segments), shape)
+    return texts.mapInArrow(keys, "group bigint, n bigint, packed binary")
+
 
-    counted = texts.mapInArrow(_count_with(pairs_of, shape), "segment bigint, pair bigint, n bigint")
-    return counted.groupBy("segment").applyInArrow(_build_segment, "segment bigint, bits binary")
+def pair_filter(texts: DataFrame, segments: int) -> dict[int, str]:
+    """The filter's segments: for each ``group`` of neighbouring ones that has pairs, the file with their bits."""
+    build = _build_group(segments, new_folder(texts.sparkSession, "pair-filter"))
+    built = packed_pairs(texts, segments).groupBy("group").applyInArrow(build, "group bigint, path string")
+    return {row.group: row.path for row in built.collect()}
 
 
 @dataclass
@@ -178,9 +243,10 @@ class Shard:
     def mapped(path: str) -> Shard:
         """A local copy of a shard's file, mapped into memory."""
         data = np.memmap(path, np.uint8, "r")
-        n, first, lines = data[:24].view(np.int64).tolist()
-        tokens, counts = data[24 : 24 + 8 * n].view(np.uint64), data[24 + 8 * n : 24 + 16 * n].view(np.int64)
-        return Shard(tokens, counts, first, data[24 + 16 * n :].reshape(lines, SEGMENT_BITS // 8))
+        n, width, first, lines = data[:32].view(np.int64).tolist()
+        ends = 32 + 8 * n, 32 + (8 + width) * n
+        tokens, counts = data[32 : ends[0]].view(np.uint64), data[ends[0] : ends[1]].view(f"u{width}")
+        return Shard(tokens, counts, first, data[ends[1] :].reshape(lines, SEGMENT_BITS // 8))
 
     def token_counts(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.tokens):
@@ -208,10 +274,10 @@ class Shard:
 
 @dataclass(frozen=True)
 class Model:
-    """Token counts and filter as written tables, with the totals that scoring needs."""
+    """Token counts as a written table, the filter as written files, and the totals that scoring needs."""
 
     counts: DataFrame
-    filter: DataFrame
+    filter: dict[int, str]
     train_tokens: int
     train_texts: int
     distinct: int
@@ -219,27 +285,35 @@ class Model:
     shards: int
     prior: float
 
+    @property
+    def each(self) -> int:
+        """Segments a shard."""
+        return -(-self.segments // self.shards)
+
     def write_shard(self, k: int) -> str:
         """One shard as a flat file in the shared folder, a piece at a time; returns its path."""
         spark = self.counts.sparkSession
         own = self.counts.where(F.pmod("token", F.lit(self.shards)) == k).toArrow()
-        tokens = own.column("token").to_numpy().view(np.uint64)
+        tokens, counts = own.column("token").to_numpy().view(np.uint64), own.column("n").to_numpy()
         order = np.argsort(tokens)
-        each = -(-self.segments // self.shards)
-        first = k * each
-        lines = max(0, min(each, self.segments - first))
+        width = 4 if counts.max(initial=0) < 1 << 32 else 8
+        first = k * self.each
+        end = max(first, min(first + self.each, self.segments))
         sink = Sink(f"{new_folder(spark, 'shard')}/shard-{uuid.uuid4().hex}")
-        sink.write(np.array([len(order), first, lines], np.int64).tobytes())
+        sink.write(np.array([len(order), width, first, end - first], np.int64).tobytes())
         sink.write(tokens[order].tobytes())
-        sink.write(own.column("n").to_numpy()[order].astype(np.int64).tobytes())
-        for low in range(first, first + lines, FETCHED):
-            some = min(FETCHED, first + lines - low)
-            bits = np.zeros((some, SEGMENT_BITS // 8), np.uint8)
-            near = self.filter.where(F.col("segment").between(low, low + some - 1))
-            for batch in near.toArrow().to_batches():
-                for segment, line in zip(batch.column("segment").to_pylist(), batch.column("bits")):
-                    bits[segment - low] = np.frombuffer(line.as_buffer(), np.uint8)
-            sink.write(bits.tobytes())
+        sink.write(counts[order].astype(f"u{width}").tobytes())
+        line = SEGMENT_BITS // 8
+        while first < end:
+            group = first // GROUPED
+            low, stop = group * GROUPED, min(end, (group + 1) * GROUPED)
+            if group in self.filter:
+                with open_input(self.filter[group]) as file:
+                    file.seek((first - low) * line)
+                    sink.write(file.read((stop - first) * line))
+            else:
+                sink.write(bytes((stop - first) * line))
+            first = stop
         sink.close()
         return sink.path
 
@@ -252,22 +326,41 @@ def train(texts: DataFrame, prior: float = 100.0, shard_bytes: int = SHARD_BYTES
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), end.alias("texts")).first()
     n, distinct = total["n"] or 0, total["v"]
     segments = max(1, -(-n * BITS_PER_TOKEN // SEGMENT_BITS))
-    pairs = materialize(pair_filter(texts, segments), "pair-filter")
+    pairs = pair_filter(texts, segments)
     size = segments * SEGMENT_BITS // 8 + distinct * WORD_BYTES
     return Model(counts, pairs, n, total["texts"] or 0, distinct, segments, max(1, -(-size // shard_bytes)), prior)
 
 
-_FOUND = {"_c": np.int64, "_before": np.int64, "_level": np.uint8}
 SCORES = "n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _scoring(model: Model, file: str, first: bool, last: bool):
-    segments, texts, prior = model.segments, model.train_texts, model.prior
+def _dealt(place: np.ndarray, edges: np.ndarray) -> Iterator[np.ndarray]:
+    """Where the places between two edges are, in their order, for all neighbouring edges."""
+    order = np.argsort(place)
+    cuts = np.searchsorted(place[order], edges)
+    for a, b in zip(cuts, cuts[1:]):
+        yield order[a:b]
+
+
+def _within_reach(context: SparkContext, path: str) -> str:
+    """What ``_local`` needs to find a file of the shared folder on any node."""
+    mounted = mounted_path(path)
+    if mounted is None:
+        context.addFile(path)
+    return mounted or path.rsplit("/", 1)[1]
+
+
+def _local(file: str) -> str:
+    return file if file.startswith("/") else SparkFiles.get(file)
+
+
+def _scoring(model: Model, files: list[str]):
+    segments, each, texts, prior = model.segments, model.each, model.train_texts, model.prior
     whole = model.train_tokens + model.distinct + 1
 
     def scores(rows, c, c_before, level):
         p1 = (c + 1) / whole
-        pair = np.where(level > 0, 2.0 ** (np.maximum(level, 1).astype(np.int64) - 1), 0.0)
+        pair = np.where(level > 0, 2.0 ** (np.maximum(level, 1) - 1), 0.0)
         pair = np.minimum(pair, np.minimum(c, c_before))
         p = (pair + prior * p1) / (c_before + prior)
         at = rows[:-1]
@@ -279,30 +372,25 @@ def _scoring(model: Model, file: str, first: bool, last: bool):
         ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = Shard.mapped(SparkFiles.get(file))
+        shards = [Shard.mapped(_local(file)) for file in files]
+        numbers = np.arange(len(shards) + 1)
         for batch in bytewise(batches, "_text", TEXT_BYTES):
             tokens, before, rows = tokens_of(batch.column("_text"))
-            if first:
-                found = {n: np.zeros(len(tokens), t) for n, t in _FOUND.items()}
-            else:
-                found = {n: np.frombuffer(b"".join(batch.column(n).to_pylist()), t).copy() for n, t in _FOUND.items()}
             once, place = np.unique(tokens, return_inverse=True)
-            own = shard.token_counts(once)[place]
-            found["_c"] += own
-            own[1:] = own[:-1].copy()
-            own[before == BEGIN] = texts if first else 0
-            found["_before"] += own
-            found["_level"] = np.maximum(found["_level"], shard.levels(pairs_of(before, tokens), segments).astype(np.uint8))
-            names = [n for n in batch.schema.names if n not in _FOUND and not (last and n == "_text")]
-            arrays = [batch.column(n) for n in names]
-            if last:
-                arrays += scores(rows, found["_c"], found["_before"], found["_level"])
-                names += ["n_tokens", "n_known", "base_score", "score"]
-            else:
-                for n, values in found.items():
-                    names.append(n)
-                    arrays.append(pa.array([values[a:b].tobytes() for a, b in zip(rows, rows[1:])], pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            known = np.zeros(len(once), np.int64)
+            for shard, at in zip(shards, _dealt(once.view(np.int64) % len(shards), numbers)):
+                known[at] = shard.token_counts(once[at])
+            c = known[place]
+            c_before = np.empty_like(c)
+            c_before[1:] = c[:-1]
+            c_before[rows[:-1]] = texts
+            pairs = pairs_of(before, tokens)
+            level = np.zeros(len(pairs), np.int64)
+            for shard, at in zip(shards, _dealt(_segment(pairs, segments), numbers * each)):
+                level[at] = shard.levels(pairs[at], segments)
+            names = [n for n in batch.schema.names if n != "_text"]
+            arrays = [batch.column(n) for n in names] + scores(rows, c, c_before, level)
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "n_tokens", "n_known", "base_score", "score"])
 
     return run
 
@@ -312,12 +400,5 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     context = docs.sparkSession.sparkContext
     out = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
     own = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
-    for k in range(model.shards):
-        last = k == model.shards - 1
-        path = model.write_shard(k)
-        context.addFile(path)
-        schema = own + (SCORES if last else "_text string, " + ", ".join(f"{n} binary" for n in _FOUND))
-        out = out.mapInArrow(_scoring(model, path.rsplit("/", 1)[1], k == 0, last), schema)
-        if not last:
-            out = materialize(out, f"probed-{k}")
-    return out
+    files = [_within_reach(context, model.write_shard(k)) for k in range(model.shards)]
+    return out.mapInArrow(_scoring(model, files), own + SCORES)

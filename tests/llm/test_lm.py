@@ -3,12 +3,15 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from orderloom.llm import lm
+from orderloom.operators.storage import shared_folder
 from tests.llm.samples import clashing, documents, nothing
 
 
@@ -71,3 +74,51 @@ def test_pairs_help_on_texts_held_out(spark):
     model = lm.train(docs.where(~held))
     sums = lm.score(docs.where(held), model).agg(F.sum("score"), F.sum("base_score")).first()
     assert sums[0] > sums[1]
+
+
+def test_many_shards_write_nothing_but_the_shards(spark):
+    def written():
+        return {f for f in Path(shared_folder(spark)).rglob("*") if f.is_file()}
+
+    docs = documents(spark)
+    model = lm.train(docs, shard_bytes=20_000)
+    assert model.shards > 2
+    before = written()
+    many = lm.score(docs, model).collect()
+    new = written() - before
+    assert len(new) == model.shards and all(f.name.startswith("shard-") for f in new)
+    assert Counter(many) == Counter(lm.score(docs, lm.train(docs)).collect())
+
+
+@pytest.mark.parametrize("segments", [1, 3, 16, 1000, 1 << 20])
+def test_pairs_placed_by_segment_are_found_again(segments):
+    pairs = np.r_[np.random.default_rng(5).integers(0, 1 << 64, 10_000, dtype=np.uint64), np.uint64(0), np.uint64(2**64 - 1)]
+    placed = np.sort(lm._placed(pairs, segments))
+    found, line = lm._found_at(placed, 0, segments, segments)
+    assert np.array_equal(np.sort(found), np.sort(pairs))
+    assert np.array_equal(line, lm._segment(found, segments)) and (np.diff(line) >= 0).all()
+
+
+def test_groups_of_segments_in_shards_of_another_size(spark):
+    words = np.random.default_rng(6).zipf(1.3, (480, 2500)) % 30_000
+    texts = [" ".join(f"w{w}" for w in row) for row in words]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string").repartition(4)
+    model = lm.train(docs, shard_bytes=400_000)
+    assert model.segments > lm.GROUPED and model.shards > 2 and model.each % lm.GROUPED
+    packed = lm.packed_pairs(docs, model.segments).agg(F.sum(F.length("packed")), F.sum("n"), F.count("*")).first()
+    assert packed[0] < 8 * packed[1] and packed[2] == 4 * len(model.filter)  # 24 bytes a pair in a row for each before
+    tokens, before, _ = lm.tokens_of(pa.array(texts))
+    pairs, counts = np.unique(lm.pairs_of(before, tokens), return_counts=True)
+    shards = [lm.Shard.mapped(model.write_shard(k)) for k in range(model.shards)]
+    levels = sum(shard.levels(pairs, model.segments) for shard in shards)
+    least = 1 + np.floor(np.log2(counts))
+    assert (levels >= least).all() and (levels == least).mean() > 0.97
+    assert Counter(lm.score(docs, model).collect()) == Counter(lm.score(docs, lm.train(docs)).collect())
+
+
+def test_files_of_other_stores_are_copied_to_the_nodes(spark, monkeypatch):
+    docs = documents(spark)
+    model = lm.train(docs, shard_bytes=40_000)
+    mapped = Counter(lm.score(docs, model).collect())
+    monkeypatch.setattr(lm, "mounted_path", lambda path: None)
+    assert Counter(lm.score(docs, model).collect()) == mapped
