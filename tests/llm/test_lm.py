@@ -3,7 +3,6 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.llm import lm
-from orderloom.operators.storage import shared_folder
+from orderloom.operators import storage
 from tests.llm.samples import clashing, documents, nothing
 
 
@@ -76,10 +75,11 @@ def test_pairs_help_on_texts_held_out(spark):
     assert sums[0] > sums[1]
 
 
-def test_many_shards_write_nothing_but_the_shards(spark):
+def test_many_shards_write_nothing_but_the_shards(spark, tmp_path, monkeypatch):
     def written():
-        return {f for f in Path(shared_folder(spark)).rglob("*") if f.is_file()}
+        return {f for f in tmp_path.rglob("*") if f.is_file()}
 
+    monkeypatch.setattr(storage, "shared_folder", lambda spark: str(tmp_path))
     docs = documents(spark)
     model = lm.train(docs, shard_bytes=20_000)
     assert model.shards > 2
